@@ -84,10 +84,10 @@ def _line(event_id: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
-def _copies(*choices: tuple[Column, Column]) -> Column:
-    """Numbered texts of one event whose condition holds."""
+def _lines(number: str, *choices: tuple[Column, Column]) -> Column:
+    """One numbered text row per choice whose condition holds."""
     numbered = [
-        F.when(wanted, F.struct(F.lit(i).alias("copy"), text.alias("value")))
+        F.when(wanted, F.struct(F.lit(i).alias(number), text.alias("value")))
         for i, (wanted, text) in enumerate(choices)
     ]
     return F.inline(F.array_compact(F.array(*numbered)))
@@ -101,7 +101,8 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     resent = _line(F.concat(F.lit("dup_"), F.col("event_id")))
     lines = facts(spark, sf_dir).select(
         "k",
-        _copies(
+        _lines(
+            "copy",
             (F.lit(True), F.when(_every(101), broken).otherwise(whole)),
             (_every(29), whole),
             (_every(50), resent),
@@ -118,30 +119,28 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def physical_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream as a producer wrote it: some Windows line ends, some blank lines."""
-    # Every third line of a shard's row range is a payload slot; blanks follow slot 1.
-    at = F.col("_source_row")
-    k = F.floor((at - 1) / 3)
-    first = (at - 1) % 3 == 0
+    line = F.col("_source_row")
+    k = F.floor((line - 1) / 3)
+    first = (line - 1) % 3 == 0
     text = F.when(k % 7 == 0, F.concat("_raw_payload", F.lit("\r"))).otherwise(
         F.col("_raw_payload")
     )
-    blanks = {37: "", 41: "  ", 43: " ", 47: "\r"}
-    slots = [
-        F.when(F.lit(True), F.struct(F.lit(0).alias("slot"), text.alias("value"))),
-        *[
-            F.when(first & (k % n == 0), F.struct(F.lit(i + 1), F.lit(blank)))
-            for i, (n, blank) in enumerate(blanks.items())
-        ],
-    ]
+    blanks = {37: "", 41: "  ", 43: "\u00a0", 47: "\r"}
     return payloads(spark, sf_dir).select(
-        "shard", at.alias("at"), F.inline(F.array_compact(F.array(*slots)))
+        "shard",
+        line.alias("line"),
+        _lines(
+            "slot",
+            (F.lit(True), text),
+            *[(first & (k % n == 0), F.lit(blank)) for n, blank in blanks.items()],
+        ),
     )
 
 
 def write_landing_files(spark: SparkSession, sf_dir: str) -> str:
     """Write the physical lines as text, one file per shard, and return the folder."""
     path = scratch_path(spark, "landing")
-    order = ("shard", "at", "slot")
+    order = ("shard", "line", "slot")
     (
         physical_lines(spark, sf_dir)
         .repartition("shard")

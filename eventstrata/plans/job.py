@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from eventstrata.config import DEFAULT, StreamConfig
@@ -13,8 +13,13 @@ from eventstrata.operators.cohort import DAILY_KEYS, daily_metrics
 from eventstrata.operators.dedup import SILVER_COLUMNS, SILVER_KEYS, dedup_input, silver_with_counts
 from eventstrata.operators.lifecycle import ORDER_KEYS, reconstruct
 from eventstrata.operators.validate import rejected, slim, valid, validate
-from eventstrata.session import configure, scratch_path, stage
-from eventstrata.sinks.tables import write_ordered, write_report, write_scan_order
+from eventstrata.session import configure, in_parallel, reread, scratch_path, stage
+from eventstrata.sinks.tables import (
+    write_ordered,
+    write_report,
+    write_scan_order,
+    write_small_ordered,
+)
 from eventstrata.sources.lines import BRONZE_KEYS, land_files
 
 REPORT_SCHEMA = T.StructType(
@@ -31,10 +36,6 @@ REPORT_SCHEMA = T.StructType(
 )
 
 
-def _reread(df: DataFrame, path: str) -> DataFrame:
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def run(
     spark: SparkSession, input_path: str, output_dir: str, config: StreamConfig = DEFAULT
 ) -> dict[str, Any]:
@@ -53,26 +54,31 @@ def run(
         write_ordered(bronze, paths["bronze"], BRONZE_KEYS, codec)
     else:
         write_scan_order(bronze, paths["bronze"], codec)
-    bronze = _reread(bronze, paths["bronze"])
+    bronze = reread(bronze, paths["bronze"])
 
     rows = stage(slim(validate(bronze, config)), scratch_path(spark, "validated"))
-    write_ordered(rejected(rows), paths["quarantine"], BRONZE_KEYS, codec)
-    silver = stage(
-        silver_with_counts(dedup_input(valid(rows)), config), scratch_path(spark, "silver")
+    deduplicated = silver_with_counts(dedup_input(valid(rows)), config)
+    _, landed, silver = in_parallel(
+        spark,
+        lambda: write_ordered(rejected(rows), paths["quarantine"], BRONZE_KEYS, codec),
+        lambda: quality.landing_counts(rows).first().asDict(),
+        lambda: stage(deduplicated, scratch_path(spark, "silver")),
     )
-
-    landed = quality.landing_counts(rows).first().asDict()
     counts = {**landed, **quality.silver_counts(silver).first().asDict()}
     quality.assert_reconciles(counts)
 
     silver = silver.select(*SILVER_COLUMNS)
     write_ordered(silver, paths["silver"], SILVER_KEYS, codec)
-    orders = reconstruct(_reread(silver, paths["silver"]), config)
+    orders = reconstruct(reread(silver, paths["silver"]), config)
     write_ordered(orders, paths["orders"], ORDER_KEYS, codec)
-    orders = _reread(orders, paths["orders"])
-    write_ordered(daily_metrics(orders, config), paths["daily"], DAILY_KEYS, codec)
+    orders = reread(orders, paths["orders"])
+    _, finished = in_parallel(
+        spark,
+        lambda: write_small_ordered(daily_metrics(orders, config), paths["daily"], DAILY_KEYS, codec),
+        lambda: quality.order_counts(orders, config).first().asDict(),
+    )
 
-    counts.update(quality.order_counts(orders, config).first().asDict())
+    counts.update(finished)
     counts["rejected_by_reason"] = quality.reject_counts(landed)
     report = {name: counts[name] for name in quality.REPORT_FIELDS}
     write_report(spark.createDataFrame([report], REPORT_SCHEMA), paths["report"])

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,6 +34,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/eventstrata/{name}-{uuid.uuid4().hex}"
 
 
+def reread(df: DataFrame, path: str) -> DataFrame:
+    """The table as written under ``path``, also when it holds no row."""
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write a table once and continue from the files.
 
@@ -37,4 +46,11 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     costs the re-read of a split instead of the whole lineage.
     """
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return reread(df, path)
+
+
+def in_parallel(spark: SparkSession, *tasks: Callable[[], Any]) -> list[Any]:
+    """Run independent Spark actions at the same time, so that one fills the other's tail."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        return [job.result() for job in running]

@@ -3,19 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventstrata.config import DEFAULT, StreamConfig
 
 
 def vocabulary(spark: SparkSession, config: StreamConfig = DEFAULT) -> DataFrame:
     """One row per event type. The config guarantees unique names and a bounded size."""
-    rows = [
-        F.struct(
-            F.lit(t.name).alias("event_type"),
-            F.lit(t.rank).cast("int").alias("lifecycle_rank"),
-            F.lit(t.terminal).alias("is_terminal"),
-        )
-        for t in config.event_types
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    rows, values = [], {}
+    for i, t in enumerate(config.event_types):
+        rows.append(f"(:name{i}, int(:rank{i}), :terminal{i})")
+        values |= {f"name{i}": t.name, f"rank{i}": t.rank, f"terminal{i}": t.terminal}
+    columns = "event_type, lifecycle_rank, is_terminal"
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({columns})", values)
