@@ -601,8 +601,8 @@ def restate_affected_dates(x: Layers) -> DataFrame:
     path = scratch_path(x.spark, "restated")
     tables.write_by_date(silver.where(~late), path, "event_date", SILVER_KEYS)
     stored = x.spark.read.schema(silver.schema).parquet(path)
-    dates = tables.affected_dates(silver.where(late))
-    whole = stored.join(dates, "event_date", "left_semi").unionByName(silver.where(late))
+    new = silver.where(late)
+    whole = tables.rows_of_dates(stored, new).unionByName(new)
     tables.restate_dates(whole, path, "event_date", SILVER_KEYS)
     return x.spark.read.schema(silver.schema).parquet(path)
 

@@ -77,6 +77,8 @@ class StreamConfig:
     bronze_order: str = "scan"
     # Above this many input blocks the line offsets are joined by shuffle, not broadcast.
     max_broadcast_blocks: int = 500_000
+    # Above this many touched orders their events are found by a salted join, not a broadcast.
+    max_broadcast_ids: int = 1_000_000
     # Types that the lifecycle and cohort metrics refer to by role.
     creation: str = "ORDER_CREATED"
     allocation: str = "RIDER_ALLOCATED"

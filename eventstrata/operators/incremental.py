@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventstrata.config import DEFAULT, StreamConfig, EventType
+from eventstrata.config import DEFAULT, EventType, StreamConfig
 from eventstrata.operators.cohort import attributable, daily_metrics
 from eventstrata.operators.dedup import drop_exact
 from eventstrata.operators.lifecycle import reconstruct
 from eventstrata.operators.validate import validate
+from eventstrata.session import scratch_path, stage_counted
 from eventstrata.sources.lines import land_rows
 
+SALTS = 64
+
 
 def unseen_events(
     batch: DataFrame, index: DataFrame, since: dt.date, config: StreamConfig = DEFAULT
@@ -27,6 +31,22 @@ def unseen_events(
     return drop_exact(batch, config).join(recent, list(config.exact_key), "left_anti")
 
 
+def events_of(
+    silver: DataFrame, ids: DataFrame, ids_count: int, config: StreamConfig = DEFAULT
+) -> DataFrame:
+    """Silver rows of the given distinct orders, without gathering an order in one task.
+
+    Few ids are broadcast. Many are repeated once per salt and joined on order and salt: a
+    plain join would leave Silver partitioned by order, and the aggregation behind it would
+    take a hot order from a single task instead of combining it map-side first.
+    """
+    if ids_count <= config.max_broadcast_ids:
+        return silver.join(F.broadcast(ids), "order_id", "left_semi")
+    salted = ids.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = silver.withColumn("_salt", F.pmod(F.xxhash64("event_id"), F.lit(SALTS)).cast("int"))
+    return spread.join(salted, ["order_id", "_salt"], "left_semi").drop("_salt")
+
+
 def refresh_orders(
     orders: DataFrame, silver: DataFrame, touched: DataFrame, config: StreamConfig = DEFAULT
 ) -> DataFrame:
@@ -34,8 +54,11 @@ def refresh_orders(
 
     Touch wins over any freeze: an event after the grace period reopens its order.
     """
-    ids = touched.select("order_id").distinct()
-    rebuilt = reconstruct(silver.join(ids, "order_id", "left_semi"), config)
+    spark = silver.sparkSession
+    ids, count = stage_counted(
+        touched.select("order_id").distinct(), scratch_path(spark, "touched-orders")
+    )
+    rebuilt = reconstruct(events_of(silver, ids, count, config), config)
     return orders.join(ids, "order_id", "left_anti").unionByName(rebuilt)
 
 
@@ -49,7 +72,8 @@ def refresh_daily(
     """Recompute the creation dates that touched orders had before or have now."""
     ids = touched.select("order_id").distinct()
     changed = orders_before.unionByName(orders_now).join(ids, "order_id", "left_semi")
-    dates = attributable(changed, config).select("date").distinct()
+    # The calendar bounds this table, so it may be broadcast: hot dates are not shuffled.
+    dates = F.broadcast(attributable(changed, config).select("date").distinct())
     affected = attributable(orders_now, config).join(dates, "date", "left_semi").drop("date")
     return daily.join(dates, "date", "left_anti").unionByName(daily_metrics(affected, config))
 
@@ -60,6 +84,4 @@ def replay(quarantine: DataFrame, config: StreamConfig) -> DataFrame:
 
 
 def with_event_type(config: StreamConfig, event_type: EventType) -> StreamConfig:
-    from dataclasses import replace
-
     return replace(config, event_types=(*config.event_types, event_type))

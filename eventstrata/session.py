@@ -9,7 +9,8 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -49,6 +50,13 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return reread(df, path)
 
 
+def stage_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """Stage a table and learn its row count from the same write."""
+    written = Observation()
+    staged = stage(df.observe(written, F.count("*").alias("rows")), path)
+    return staged, written.get["rows"]
+
+
 def in_parallel(spark: SparkSession, *tasks: Callable[[], Any]) -> list[Any]:
     """Run independent Spark actions at the same time, so that one fills the other's tail."""
     with ThreadPoolExecutor(len(tasks)) as pool:

@@ -74,8 +74,11 @@ def restate_dates(
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    report.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """The single report row as one JSON file, absent values spelled out."""
+    report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def affected_dates(rows: DataFrame, date: str = "event_date") -> DataFrame:
-    return rows.select(F.col(date)).distinct()
+def rows_of_dates(stored: DataFrame, new: DataFrame, date: str = "event_date") -> DataFrame:
+    """Stored rows of every date that ``new`` touches. The calendar bounds the broadcast."""
+    dates = new.select(F.col(date)).distinct()
+    return stored.join(F.broadcast(dates), date, "left_semi")

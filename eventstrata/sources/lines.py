@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventstrata.config import DEFAULT, StreamConfig
 from eventstrata.functions.json_text import with_json_fields
 from eventstrata.functions.text import is_blank, strip_carriage_returns
-from eventstrata.session import scratch_path, stage
+from eventstrata.session import scratch_path, stage_counted
 
 BRONZE_KEYS = ("_source_file", "_source_row")
 
@@ -54,15 +54,14 @@ def number_lines(payloads: DataFrame, config: StreamConfig = DEFAULT) -> DataFra
         F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.count("*").alias("_lines")
     )
     before = W.partitionBy("_path").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    blocks = Observation()
     offsets = counted.select(
         *block,
         "_first",
         "_last",
         F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_offset"),
-    ).observe(blocks, F.count("*").alias("n"))
-    offsets = stage(offsets, scratch_path(spark, "line-offsets"))
-    if blocks.get["n"] <= config.max_broadcast_blocks:
+    )
+    offsets, blocks = stage_counted(offsets, scratch_path(spark, "line-offsets"))
+    if blocks <= config.max_broadcast_blocks:
         offsets = F.broadcast(offsets)
     in_block = F.col("_at").between(F.col("_first"), F.col("_last"))
     ordinal = F.col("_offset") + F.col("_at") - F.col("_first") + 1

@@ -2,26 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from eventstrata.config import DEFAULT, StreamConfig
 from eventstrata.functions.times import seconds_between
 from eventstrata.operators.dedup import dedup_input, drop_exact, drop_semantic
 from eventstrata.operators.validate import valid, validate
+from eventstrata.session import scratch_path, stage
 from eventstrata.sinks.tables import write_scan_order
 from eventstrata.sources.lines import land_rows, payload_lines
 
-SEEN_SCHEMA = (
-    "event_id string, order_id string, event_type string, event_time timestamp_ntz, "
-    "rider_id string, supplier_id string, event_date date"
-)
-
-
 def stream_bronze(
     spark: SparkSession,
     path: str,
@@ -68,14 +65,14 @@ def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
-def _earlier_batches(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    try:
-        stored = spark.read.schema(f"{SEEN_SCHEMA}, batch_id long").parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = spark.createDataFrame([], f"{SEEN_SCHEMA}, batch_id long")
-    return stored.where(F.col("batch_id") < batch_id)
+def _earlier_batches(like: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """What the batches before this one wrote, also when this one is a retry."""
+    spark = like.sparkSession
+    if batch_id == 0:
+        return spark.createDataFrame([], like.schema)
+    schema = T.StructType([*like.schema.fields, T.StructField("batch_id", T.LongType())])
+    stored = spark.read.schema(schema).parquet(path)
+    return stored.where(F.col("batch_id") < batch_id).drop("batch_id")
 
 
 def deduplicate_batches(
@@ -89,43 +86,39 @@ def deduplicate_batches(
 
     Inside the batch the stages are the batch aggregates, which combine before they
     shuffle, so a redelivery storm on one id stays cheap. Against earlier batches they are
-    anti-joins with the ids and business keys seen within the horizon. Rows behind the
-    horizon go to ``expired_path`` for a restatement instead of being dropped. Between
-    batches the first processed copy stays, not the earliest ingested one: the business
-    keys equal the batch result, the surviving ids may not.
+    anti-joins with the ids and business keys stored within the horizon; both stored sides
+    are unique per key. Rows behind the horizon go to ``expired_path`` for a restatement
+    instead of being dropped. Between batches the first processed copy stays, not the
+    earliest ingested one: the business keys equal the batch result, the surviving ids may
+    not.
     """
 
     def handle(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        earlier = _earlier_batches(spark, seen_path, batch_id)
-        newest = rows.agg(F.max("event_time").alias("t"))
-        newest = newest.unionByName(earlier.agg(F.max("event_time").alias("t")))
-        edge = newest.agg(F.max("t").cast("date").alias("t")).first()["t"]
-        if edge is None:
-            return
-        cutoff = F.date_sub(F.lit(edge), horizon_days)
-        dated = rows.withColumn("event_date", F.to_date("event_time"))
-        expired = dated.where(F.col("event_date") < cutoff)
-        write_scan_order(expired, batch_folder(expired_path, batch_id))
-
-        recent = earlier.where(F.col("event_date") >= cutoff)
-        fresh = dated.where(F.col("event_date") >= cutoff).drop("event_date")
-        unseen = drop_exact(fresh, config).join(
-            recent.select(*config.exact_key), list(config.exact_key), "left_anti"
-        )
-        unseen = unseen.withColumn("event_date", F.to_date("event_time"))
-        seen_now = batch_folder(seen_path, batch_id)
-        write_scan_order(unseen, seen_now)
-        stored = spark.read.schema(unseen.schema).parquet(seen_now)
-
-        known, key = recent.select(*config.semantic_key).alias("known"), config.semantic_key
-        survivors = drop_semantic(stored, config).alias("new")
-        same = F.lit(True)
-        for part in key:
-            same = same & F.col(f"new.{part}").eqNullSafe(F.col(f"known.{part}"))
-        write_scan_order(
-            survivors.join(known, same, "left_anti"), batch_folder(silver_path, batch_id)
-        )
+        rows = stage(rows, scratch_path(spark, "micro-batch"))
+        unseen = drop_exact(rows, config).withColumn("event_date", F.to_date("event_time"))
+        seen = _earlier_batches(unseen, seen_path, batch_id)
+        dates = rows.select(F.to_date("event_time").alias("d"))
+        newest = dates.unionByName(seen.select(F.col("event_date").alias("d"))).agg(F.max("d"))
+        cutoff = F.date_sub(F.lit(newest.first()[0] or dt.date.min), horizon_days)
+
+        behind = F.to_date("event_time") < cutoff
+        write_scan_order(rows.where(behind), batch_folder(expired_path, batch_id))
+        ids = list(config.exact_key)
+        recent = seen.where(F.col("event_date") >= cutoff).select(*ids)
+        unseen = unseen.where(F.col("event_date") >= cutoff).join(recent, ids, "left_anti")
+        unseen = stage(unseen, batch_folder(seen_path, batch_id))
+
+        survivors = drop_semantic(unseen, config)
+        silver = _earlier_batches(survivors, silver_path, batch_id)
+        known = silver.where(F.col("event_date") >= cutoff).select(*config.semantic_key)
+        new, known = survivors.alias("new"), known.alias("known")
+        same = [
+            F.col(f"new.{part}").eqNullSafe(F.col(f"known.{part}"))
+            for part in config.semantic_key
+        ]
+        fresh = new.join(known, reduce(Column.__and__, same), "left_anti")
+        write_scan_order(fresh, batch_folder(silver_path, batch_id))
 
     return handle
 
@@ -137,8 +130,9 @@ def route_by_lateness(
 
     def handle(rows: DataFrame, batch_id: int) -> None:
         lag = seconds_between(F.col("event_time"), F.col("ingested_at"))
-        too_late: Column = lag > allowed_seconds
         timed = rows.withColumn("lateness_seconds", lag)
+        timed = stage(timed, scratch_path(rows.sparkSession, "micro-batch"))
+        too_late = F.col("lateness_seconds") > allowed_seconds
         write_scan_order(timed.where(~too_late), batch_folder(on_time_path, batch_id))
         write_scan_order(timed.where(too_late), batch_folder(late_path, batch_id))
 
