@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventstrata.session import scratch_path
+from eventstrata.session import scratch_path, spread
 
 # Lines of this many consecutive events share one landing file.
 EVENTS_PER_FILE = 4096
@@ -39,7 +39,8 @@ def _utc_text(moment: Column) -> Column:
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What really happened: one clean, typed delivery event per row of ``events``."""
-    source = spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("event_id", "k")
+    source = spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
+    source = source.withColumnRenamed("event_id", "k")
     kind, user, k = F.col("event_type"), F.col("user_id"), F.col("k")
     error_type = (
         F.when(k % 3 == 0, "CANCELLED").when(k % 3 == 1, "STARTED_PICKUP").otherwise("TELEPORTED")

@@ -20,11 +20,12 @@ def with_json_fields(
     """Add a validity flag and one text column per top-level field.
 
     Spark's parsers stop at the end of the first value, so junk behind it goes unseen.
-    Parsing the text once inside ``[...]`` and once inside ``{"w":...}`` closes that gap:
-    whatever ends one wrapper early breaks the other. The bracketed parse is strict and
-    keeps every field as text, so one pass serves both the check and all the columns; a
-    lookup in the parsed map finds the first of repeated keys. Valid JSON that is no
-    object takes the second bracketed parse and has no fields.
+    Inside ``[...]`` a value must be followed by the closing bracket, which only a text with
+    a bracket of its own can fake; such a text is parsed inside ``{"w":...}`` as well, where
+    that bracket is an error. The bracketed parse is strict and keeps every field as text,
+    so one pass serves both the check and all the columns; a lookup in the parsed map finds
+    the first of repeated keys. Valid JSON that is no object takes a second bracketed parse
+    and has no fields.
     """
     text = F.col(payload)
     boxed = F.concat(F.lit("["), text, F.lit("]"))
@@ -32,7 +33,7 @@ def with_json_fields(
     parsed = df.select(
         "*",
         F.from_json(boxed, "array<map<string,string>>", STRICT).alias("_objects"),
-        F.json_object_keys(held).isNotNull().alias("_closed"),
+        (~text.contains("]") | F.json_object_keys(held).isNotNull()).alias("_closed"),
     )
     no_object = F.col("_objects").isNull() & _exactly_one(
         F.from_json(boxed, "array<string>", STRICT)

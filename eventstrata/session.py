@@ -35,6 +35,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/eventstrata/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a source with fewer splits than the cluster has cores, dealt out by key.
+
+    For a small source in front of costly row work. A source with splits enough stays as it
+    is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def reread(df: DataFrame, path: str) -> DataFrame:
     """The table as written under ``path``, also when it holds no row."""
     return df.sparkSession.read.schema(df.schema).parquet(path)
