@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 from typing import Any
 
 from pyspark import inheritable_thread_target
@@ -19,6 +20,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="eventstrata-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only on a local master."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -26,9 +32,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="eventstrata-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_folder()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -26,7 +25,6 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
