@@ -7,8 +7,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
-from conftest import TESTDATA
 from eventstrata.operators.cohort import daily_metrics
 from eventstrata.operators.dedup import dedup_input, silver_with_counts
 from eventstrata.operators.incremental import events_of
@@ -18,9 +16,6 @@ from eventstrata.session import scratch_path, stage
 from eventstrata.config import StreamConfig
 from helpers import bronze, event, silver
 
-SF_DIR = f"{TESTDATA}/sf0.001"
-
-
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -91,16 +86,3 @@ def test_salted_selection_leaves_an_exchange_with_combining_behind_it(stored, no
     exchanges = shuffles(plan(rows.groupBy("order_id").agg(F.min("event_time"))))
     assert len([e for e in exchanges if "_salt" in e]) == 2
     assert re.match(r"hashpartitioning\(order_id#\d+, \d+\)", exchanges[0])
-
-
-LAZY = sorted(
-    set(driver.queries())
-    - {n for n in driver.queries() if n.startswith(("published", "stream", "late_side", "run_"))}
-)
-
-
-@pytest.mark.parametrize("name", LAZY)
-def test_no_query_uses_python_rows_or_cross_joins(spark, name):
-    text = plan(driver.queries()[name](spark, SF_DIR))
-    for operator in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert operator not in text

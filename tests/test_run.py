@@ -15,8 +15,12 @@ from eventstrata.catalog.delivery_stream import physical_lines
 from eventstrata.config import LAYOUT
 from eventstrata.operators import quality
 from eventstrata.operators.compare import fingerprint
+from eventstrata.operators.dedup import SILVER_COLUMNS
+from eventstrata.operators.lifecycle import order_columns
+from eventstrata.operators.validate import QUARANTINE_COLUMNS
 from eventstrata.plans import job
 from eventstrata.sources.lines import land_files
+from helpers import event
 
 TABLES = [name for name in LAYOUT if name != "report"]
 
@@ -94,7 +98,9 @@ def test_contract_columns(spark, finished):
         "_raw_payload",
         "_is_valid_json",
     ]
-    assert read(spark, out, "orders").columns == [f.name for f in read(spark, out, "orders").schema]
+    assert read(spark, out, "orders").columns == list(order_columns())
+    assert read(spark, out, "silver").columns == list(SILVER_COLUMNS)
+    assert read(spark, out, "quarantine").columns == list(QUARANTINE_COLUMNS)
     types = dict(read(spark, out, "silver").dtypes)
     assert types["event_time"] == types["ingested_at"] == "timestamp_ntz"
     assert (types["event_date"], types["lateness_seconds"], types["is_late"]) == (
@@ -221,6 +227,22 @@ def test_empty_input(spark, tmp_path):
         assert read(spark, tmp_path / "out", name).count() == 0
 
 
+@pytest.mark.parametrize("orders", [1, 2, 25])
+def test_few_orders(spark, tmp_path, orders):
+    steps = ["ORDER_CREATED", "RIDER_ALLOCATED", "RIDER_ACCEPTED", "DELIVERED"]
+    lines = [
+        event(f"e{o}-{i}", step, f"10:0{i}:00Z", order_id=f"o{o}", rider_id=f"r{o}")
+        for o in range(orders)
+        for i, step in enumerate(steps[: 1 + o % 4])
+    ]
+    (tmp_path / "in.jsonl").write_text("\n".join(json.dumps(line) for line in lines))
+    report = run(spark, str(tmp_path / "in.jsonl"), str(tmp_path / "out"))
+    assert report["unique_orders"] == orders
+    assert report["raw_events"] == report["silver_events"] == len(lines)
+    assert report["delivered_orders"] == sum(o % 4 == 3 for o in range(orders))
+    assert read(spark, tmp_path / "out", "daily").count() == 1
+
+
 def test_total_bronze_order(spark, finished, tmp_path):
     source, report, _ = finished
     config = StreamConfig(bronze_order="total")
