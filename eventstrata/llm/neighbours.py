@@ -21,8 +21,8 @@ from eventstrata.session import scratch_path, stage
 class Search:
     k: int = 10
     projections: int = 8  # even, for the closed form of the chi-square distribution
-    confidence: float = 0.995
-    bucket: int = 48  # vectors per kd-tree leaf
+    confidence: float = 0.97
+    bucket: int = 256  # vectors per kd-tree leaf
     block: int = 20_000  # vectors that one task indexes at once
     queries: int = 2_000  # queries that meet one block in one task
     max_regions: int = 4096  # regions of the coarse tree, which every task holds
@@ -50,31 +50,34 @@ def quantile(share: float, degrees: int) -> float:
 
 
 class KdTree:
-    """Median splits on the widest side down to buckets; nodes keep their bounding boxes."""
+    """Median splits on the widest side down to buckets; nodes keep their bounding boxes.
+
+    ``order`` lists the points so that every bucket is a slice of it.
+    """
 
     def __init__(self, points: np.ndarray, bucket: int):
-        self.rows: list[np.ndarray | None] = []
+        self.order = np.arange(len(points))
+        self.slice: list[tuple[int, int]] = []
         self.child: list[tuple[int, int]] = []
         low, high = [], []
-        todo = [(np.arange(len(points)), -1, 0)]
+        todo = [(0, len(points), -1, 0)]
         while todo:
-            rows, parent, side = todo.pop()
-            at, box = len(self.rows), points[rows]
+            lo, hi, parent, side = todo.pop()
+            at, box = len(self.slice), points[self.order[lo:hi]]
             low.append(box.min(axis=0))
             high.append(box.max(axis=0))
+            self.slice.append((lo, hi))
             self.child.append((-1, -1))
             if parent >= 0:
                 pair = list(self.child[parent])
                 pair[side] = at
                 self.child[parent] = (pair[0], pair[1])
             width = high[at] - low[at]
-            if len(rows) <= bucket or not width.max() > 0:
-                self.rows.append(rows)
+            if hi - lo <= bucket or not width.max() > 0:
                 continue
-            self.rows.append(None)
-            middle = len(rows) // 2
-            order = rows[np.argpartition(box[:, int(width.argmax())], middle)]
-            todo += [(order[:middle], at, 0), (order[middle:], at, 1)]
+            middle = (hi - lo) // 2
+            self.order[lo:hi] = self.order[lo:hi][np.argpartition(box[:, int(width.argmax())], middle)]
+            todo += [(lo, lo + middle, at, 0), (lo + middle, hi, at, 1)]
         self.low, self.high = np.array(low), np.array(high)
 
     def outside(self, nodes: list[int] | np.ndarray, point: np.ndarray) -> np.ndarray:
@@ -86,7 +89,7 @@ class KdTree:
 def nearest(
     tree: KdTree, ids: np.ndarray, vectors: np.ndarray, projected: np.ndarray, query: tuple, how: Search
 ) -> list[tuple[float, int]]:
-    """The k nearest (distance, id) found, ties to the smaller id.
+    """The k nearest (distance, id) found, ties to the smaller id; rows are in tree order.
 
     Buckets come by projected distance; their vectors are verified with the true distance.
     The projected square of a vector at true distance r is r squared times a chi-square
@@ -102,21 +105,21 @@ def nearest(
         away, node = heappop(heap)
         if away > limit * reach:
             break
-        rows = tree.rows[node]
-        if rows is None:
+        if tree.child[node][0] >= 0:
             pair = list(tree.child[node])
             for child, distance in zip(pair, tree.outside(pair, point).tolist()):
                 heappush(heap, (distance, child))
             continue
+        rows = slice(*tree.slice[node])
         gap = projected[rows] - point
-        rows = rows[((gap * gap).sum(axis=1) <= limit * reach) & (ids[rows] != own)]
+        near = np.einsum("ij,ij->i", gap, gap) <= limit * reach
         gap = vectors[rows] - vector
-        square = (gap * gap).sum(axis=1)
+        square = np.einsum("ij,ij->i", gap, gap)
+        near &= ids[rows] != own
         if len(best) == how.k:
-            close = square <= best[-1][0]
-            rows, square = rows[close], square[close]
-        if len(rows):
-            best = sorted({*best, *zip(square.tolist(), ids[rows].tolist())})[: how.k]
+            near &= square <= best[-1][0]
+        if near.any():
+            best = sorted({*best, *zip(square[near].tolist(), ids[rows][near].tolist())})[: how.k]
             if len(best) == how.k:
                 reach = min(reach, best[-1][0])
     return [(float(np.sqrt(s)), i) for s, i in best]
@@ -190,9 +193,11 @@ def _search_blocks(width: int, how: Search, directions: np.ndarray):
                 if not len(data):
                     continue
                 tree = KdTree(projected[data], how.bucket)
+                data = data[tree.order]
+                block = (ids[data], vectors[data], projected[data])
                 for q in queries.tolist():
                     query = (ids[q], vectors[q], projected[q], radius[q])
-                    for score, found in nearest(tree, ids[data], vectors[data], projected[data], query, how):
+                    for score, found in nearest(tree, *block, query, how):
                         out.append((int(ids[q]), int(found), score))
             columns = list(zip(*out)) if out else [[], [], []]
             types = (pa.int64(), pa.int64(), pa.float64())
