@@ -242,12 +242,12 @@ def score_documents(
 def keep_good(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
     """The rows whose score reaches the threshold, all columns as they are.
 
-    Statistics are computed twice for labelled rows, once to learn and once to decide;
-    the decision is then row by row and needs no join, so repeated or null ids are safe.
-    Without any label every row stays: there is nothing to reject by.
+    Statistics are computed twice, once to learn and once to decide; the decision is then
+    row by row and needs no join, so texts are not shuffled and repeated or null ids are
+    safe. Without any label every row stays: there is nothing to reject by.
     """
-    labelled = documents.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    described = labelled.select("doc_id", document_statistics(F.col("text")).alias("stats"))
+    described = documents.select("doc_id", document_statistics(F.col("text")).alias("stats"))
+    described = stage(described, scratch_path(documents.sparkSession, "statistics"))
     forest = train(described, labels, max_rows)
     if not len(forest.root):
         return documents

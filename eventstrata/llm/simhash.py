@@ -125,13 +125,23 @@ def hamming_components(codes: DataFrame, radius: int) -> DataFrame:
     return components(dealt.mapInArrow(_links(radius), "u long, v long"))
 
 
-def near_duplicates(
-    rows: DataFrame,
-    words_per_shingle: int = 3,
-    radius: int = 3,
-    doc_id: str = "doc_id",
-    text: str = "text",
-) -> DataFrame:
+def _placed(rows: DataFrame, words_per_shingle: int, radius: int) -> DataFrame:
+    """doc_id, code, root (the component's smallest code), component_id of every row."""
+    spark = rows.sparkSession
+    slim = rows.select("doc_id", simhash(F.col("text"), words_per_shingle).alias("code"))
+    slim = stage(slim, scratch_path(spark, "fingerprints"))
+    firsts = slim.groupBy("code").agg(F.min("doc_id").alias("first"))
+    firsts = stage(firsts, scratch_path(spark, "codes"))
+    linked = hamming_components(firsts.select("code"), radius)
+    placed = firsts.join(linked.withColumnRenamed("node", "code"), "code", "left").select(
+        "code", "first", F.coalesce("root", "code").alias("root")
+    )
+    names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    by_code = placed.join(names, "root").select("code", "root", "component_id")
+    return slim.join(by_code, "code").select("doc_id", "code", "root", "component_id")
+
+
+def near_duplicates(rows: DataFrame, words_per_shingle: int = 3, radius: int = 3) -> DataFrame:
     """One row per input row: doc_id, code (signed fingerprint), component_id.
 
     component_id is the smallest doc_id reachable through fingerprints at most ``radius``
@@ -140,17 +150,7 @@ def near_duplicates(
     (component_id is null only if all its members' ids are). Other columns are not read, so
     their names cannot clash. An empty table gives an empty result.
     """
-    slim = rows.select(F.col(doc_id).alias("doc_id"), simhash(F.col(text), words_per_shingle).alias("code"))
-    slim = stage(slim, scratch_path(rows.sparkSession, "fingerprints"))
-    firsts = slim.groupBy("code").agg(F.min("doc_id").alias("first"))
-    firsts = stage(firsts, scratch_path(rows.sparkSession, "codes"))
-    linked = hamming_components(firsts.select("code"), radius)
-    placed = firsts.join(linked.withColumnRenamed("node", "code"), "code", "left").select(
-        "code", "first", F.coalesce("root", "code").alias("root")
-    )
-    names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_code = placed.join(names, "root").select("code", "component_id")
-    return slim.join(by_code, "code").select("doc_id", "code", "component_id")
+    return _placed(rows, words_per_shingle, radius).select("doc_id", "code", "component_id")
 
 
 def keep_one_each(rows: DataFrame, words_per_shingle: int = 3, radius: int = 3) -> DataFrame:
@@ -159,12 +159,16 @@ def keep_one_each(rows: DataFrame, words_per_shingle: int = 3, radius: int = 3)
     Of rows that share that doc_id the least by text stays; if no member has a doc_id, one
     of the least text. All columns are kept as they are.
     """
-    found = near_duplicates(rows, words_per_shingle, radius)
-    names = found.select(F.col("code").alias("_code"), F.col("component_id").alias("_component"))
-    names = names.groupBy("_code").agg(F.first("_component", ignorenulls=True).alias("_component"))
-    coded = rows.withColumn("_code", simhash(F.col("text"), words_per_shingle))
-    first = coded.join(names, "_code").where(F.col("doc_id").eqNullSafe(F.col("_component")))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    found = _placed(rows, words_per_shingle, radius).where("doc_id <=> component_id")
+    # One code per component, and how many rows share that code and id.
+    rivals = found.groupBy("root", F.col("code").alias("_code"), key.alias("_id")).agg(F.count("*").alias("_n"))
+    best = F.min_by(F.struct("_code", "_id", "_n"), "_code").alias("_w")
+    winners = rivals.groupBy("root").agg(best).select("_w.*")
+    winners = stage(winners, scratch_path(rows.sparkSession, "winners"))
+    coded = rows.withColumn("_code", simhash(F.col("text"), words_per_shingle)).withColumn("_id", key)
+    first = coded.join(winners, ["_code", "_id"])
     row = F.struct(*[F.col(c) for c in rows.columns])
-    key = [F.col("_component"), F.when(F.col("_component").isNull(), F.col("_code")).alias("_own")]
-    least = F.min_by(row, F.coalesce("text", F.lit("")))
-    return first.groupBy(*key).agg(least.alias("_row")).select("_row.*")
+    least = F.min_by(row, F.coalesce("text", F.lit(""))).alias("_row")
+    alone = first.where("_n = 1").select(*rows.columns)
+    return alone.unionByName(first.where("_n > 1").groupBy("_code", "_id").agg(least).select("_row.*"))
