@@ -8,12 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventstrata.llm import neighbours, packing, quality_trees, secrets, simhash, substrings, weak_rules
+from eventstrata.llm import (
+    licences,
+    neighbours,
+    packing,
+    pieces,
+    quality_trees,
+    secrets,
+    simhash,
+    substrings,
+    token_files,
+    weak_rules,
+)
 from eventstrata.llm.common import table
 from eventstrata.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+END_OF_TEXT = 50256
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +52,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as flat token files, then each document's place and length in them."""
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, BYTE_BPE, END_OF_TEXT)
+    counted = token_files.count_tokens(token_files.token_blocks(spark, path), END_OF_TEXT)
+    # part-00012 and the file's number in that task's part, without the write's own id.
+    name = F.concat(F.regexp_extract("file", r"^part-\d+", 0), F.regexp_extract("file", r"-c\d+", 0))
+    return counted.withColumn("file", name)
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +70,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded_digest(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("code")).alias("fingerprint"), "component_id")
@@ -67,6 +94,10 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_licence_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(table(spark, sf_dir, "documents"))
+
+
 def _secrets_sql() -> str:
     """All rules by cutting each text at its matches and adding up the lengths before them."""
     parts = []
@@ -112,10 +143,13 @@ REGISTRY: dict[str, Query] = {
         op1_nearest_neighbours,
         op2_packing,
         op3_quality_rules,
+        op4_token_counts,
         op5_quality_classifier,
         op6_substring_dedup,
+        op7_pieces,
         op8_simhash_near_dedup,
         op9_secret_scans,
+        op10_licence_scans,
     )
 }
 EXPECTED: dict[str, str] = {"op9_secret_scans": _secrets_sql()}

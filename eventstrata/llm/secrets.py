@@ -60,7 +60,8 @@ def blob_id(text: Column) -> Column:
 
 def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A ledger table; an empty one is made before its first use."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    columns = [f"cast(null as {kind}) as {name}" for name, kind in (c.split() for c in schema.split(", "))]
+    spark.range(0).selectExpr(*columns).write.mode("ignore").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -118,7 +119,7 @@ def scan_new(documents: DataFrame, ledger: str, rules: Sequence[SecretRule] = RU
     wanted = F.array(*[F.lit(r.key) for r in rules])
     unseen = F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))).alias("unseen")
     distinct = named.groupBy("blob").agg(F.first("text").alias("text"))
-    todo = distinct.join(seen, "blob", "left").select("blob", "text", unseen).where(F.size("unseen") > 0)
+    todo = distinct.join(seen.hint("merge"), "blob", "left").select("blob", "text", unseen).where(F.size("unseen") > 0)
     find_spans(todo, rules).write.mode("append").parquet(f"{ledger}/findings")
     ids = named.select("blob").distinct().join(seen, "blob", "left").select("blob", F.explode(unseen).alias("rule"))
     ids.write.mode("append").parquet(f"{ledger}/seen")
@@ -179,7 +180,7 @@ def redact(documents: DataFrame, ledger: str, rules: Sequence[SecretRule] = RULE
     part = F.struct(F.coalesce("_reach", F.lit(0).cast("long")).alias("from"), F.col("start").alias("to"))
     parts = opened.groupBy("blob").agg(F.array_sort(F.collect_list(part)).alias("_parts")).join(last, "blob")
     joined = documents.withColumn("_blob", blob_id(F.col("text"))).join(
-        parts.withColumnRenamed("blob", "_blob"), "_blob", "left"
+        parts.withColumnRenamed("blob", "_blob").hint("merge"), "_blob", "left"
     )
     between = F.transform(
         "_parts", lambda p: F.substring(F.col("text"), (p["from"] + 1).cast("int"), (p["to"] - p["from"]).cast("int"))

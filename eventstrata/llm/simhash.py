@@ -167,7 +167,7 @@ def keep_one_each(rows: DataFrame, words_per_shingle: int = 3, radius: int = 3)
     winners = rivals.groupBy("root").agg(best).select("_w.*")
     winners = stage(winners, scratch_path(rows.sparkSession, "winners"))
     coded = rows.withColumn("_code", simhash(F.col("text"), words_per_shingle)).withColumn("_id", key)
-    first = coded.join(winners, ["_code", "_id"])
+    first = coded.join(winners.hint("merge"), ["_code", "_id"])
     row = F.struct(*[F.col(c) for c in rows.columns])
     least = F.min_by(row, F.coalesce("text", F.lit(""))).alias("_row")
     alone = first.where("_n = 1").select(*rows.columns)

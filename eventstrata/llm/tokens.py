@@ -21,20 +21,22 @@ def _byte_of_symbol() -> dict[str, int]:
 
 
 @lru_cache(maxsize=4)
-def load_encoder(path: str) -> Callable[[str], list[int]]:
+def load_encoder(path: str, special: bool = True) -> Callable[[str], list[int]]:
     """Ids of a text by a tokenizer file (byte-level BPE, ``tokenizers`` format).
 
     The file's vocabulary and special tokens are taken from the file; the merges are done
     by a faster encoder of the same vocabulary. Equality with the ``tokenizers`` library is
     tested. A special token's string in a text becomes its id, as that library does by
-    default.
+    default; without ``special`` it is ordinary text.
     """
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
-    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    added = {t["content"]: t["id"] for t in spec["added_tokens"]}
     symbol = _byte_of_symbol()
-    vocabulary = {bytes(symbol[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
+    vocabulary = {bytes(symbol[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in added}
     encoding = tiktoken.Encoding(
-        os.path.basename(path), pat_str=PATTERN, mergeable_ranks=vocabulary, special_tokens=special
+        os.path.basename(path), pat_str=PATTERN, mergeable_ranks=vocabulary, special_tokens=added
     )
+    if not special:
+        return encoding.encode_ordinary
     return lambda text: encoding.encode(text, allowed_special="all")
