@@ -58,7 +58,8 @@ class PieceTransducer:
                 self.reach[piece[:LEAD]] = max(len(piece), self.reach.get(piece[:LEAD], 0))
         self.chunk = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.stable: dict[int, bool] = {}
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
 
     def merged(self, text: str) -> list[str]:
         """Merge characters by score, best first and leftmost at ties."""
@@ -123,18 +124,24 @@ class PieceTransducer:
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
-        known, out = self.known, []
+        out: list[int] = []
         for chunk in self.chunk.findall(SPACE + text.replace(" ", SPACE)):
-            found = known.get(chunk)
-            if found is None:
-                found = self.path(chunk)
-                if len(chunk) <= LONGEST:
-                    if len(known) > REMEMBERED:
-                        known.clear()
-                    known[chunk] = found
-            out += found
+            out += self.known.get(chunk) or self.remembered(chunk)
         return out
 
+    def remembered(self, chunk: str) -> tuple[int, ...]:
+        """The path of a chunk that is not in the young memo.
+
+        A full memo becomes the old one and what is still used moves over from it, so
+        frequent chunks stay known and memory is bounded by two memos.
+        """
+        found = self.old.get(chunk) or tuple(self.path(chunk))
+        if len(chunk) <= LONGEST:
+            if len(self.known) >= REMEMBERED:
+                self.old, self.known = self.known, {}
+            self.known[chunk] = found
+        return found
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes are joined, broken ones replaced, the first space dropped."""
         raw = bytearray()
