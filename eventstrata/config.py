@@ -73,8 +73,9 @@ class StreamConfig:
     lateness_threshold_seconds: int = LATENESS_THRESHOLD_SECONDS
     compression: str = "zstd"
     layout: dict[str, str] = field(default_factory=lambda: dict(LAYOUT))
-    # "scan" writes Bronze in file order without a shuffle; "total" range-sorts it.
-    bronze_order: str = "scan"
+    # "total" range-sorts Bronze by file and line, as published; "scan" writes it without a
+    # shuffle, in order inside a file only.
+    bronze_order: str = "total"
     # Above this many input blocks the line offsets are joined by shuffle, not broadcast.
     max_broadcast_blocks: int = 500_000
     # Above this many touched orders their events are found by a salted join, not a broadcast.

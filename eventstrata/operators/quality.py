@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventstrata.config import DEFAULT, REJECT_REASONS, STATUSES, StreamConfig
+from eventstrata.config import DEFAULT, REJECT_REASONS, StreamConfig
 from eventstrata.functions.rates import safe_rate
 
 # Report fields in published order, the required ones first.
@@ -50,6 +50,15 @@ def landing_counts(validated: DataFrame) -> DataFrame:
     )
 
 
+def quarantine_counts(quarantine: DataFrame) -> DataFrame:
+    """One row from the written quarantine: rejected rows, also per reason."""
+    reason = F.col("reject_reason")
+    return quarantine.agg(
+        F.count("*").alias("rejected_events"),
+        *[F.count_if(reason == code).alias(code) for code in REJECT_REASONS],
+    )
+
+
 def silver_counts(silver: DataFrame) -> DataFrame:
     """One row from Silver with copy counts.
 
@@ -125,7 +134,7 @@ def status_violations(orders: DataFrame, config: StreamConfig = DEFAULT) -> Data
     )
     return orders.agg(
         F.count("*").alias("orders"),
-        F.count_if(~status.isin(*STATUSES)).alias("unknown_status"),
+        F.count_if(~status.isin(config.success, config.abort, "OPEN")).alias("unknown_status"),
         F.count_if(contradiction).alias("contradictions"),
     )
 

@@ -43,7 +43,9 @@ def run(
 
     Each layer is written once and read back by the next, which keeps every stage
     restartable from files. Bronze and the quarantine are evidence and always written;
-    Silver, Gold and the report replace their predecessors only after the counts add up.
+    Silver, Gold and the report replace their predecessors only after the counts add up:
+    the rows of the written Bronze against those of the written quarantine and Silver, so
+    that a row lost or multiplied anywhere after landing stops the run.
     """
     configure(spark)
     paths = {name: f"{output_dir.rstrip('/')}/{rel}" for name, rel in config.layout.items()}
@@ -58,13 +60,19 @@ def run(
 
     rows = stage(slim(validate(bronze, config)), scratch_path(spark, "validated"))
     deduplicated = silver_with_counts(dedup_input(valid(rows)), config)
-    _, landed, silver = in_parallel(
+    quarantine = rejected(rows)
+    raw, _, silver = in_parallel(
         spark,
-        lambda: write_ordered(rejected(rows), paths["quarantine"], BRONZE_KEYS, codec),
-        lambda: quality.landing_counts(rows).first().asDict(),
+        lambda: bronze.count(),
+        lambda: write_ordered(quarantine, paths["quarantine"], BRONZE_KEYS, codec),
         lambda: stage(deduplicated, scratch_path(spark, "silver")),
     )
-    counts = {**landed, **quality.silver_counts(silver).first().asDict()}
+    refused, counts = in_parallel(
+        spark,
+        lambda: quality.quarantine_counts(reread(quarantine, paths["quarantine"])).first().asDict(),
+        lambda: quality.silver_counts(silver).first().asDict(),
+    )
+    counts = {"raw_events": raw, **refused, **counts}
     quality.assert_reconciles(counts)
 
     silver = silver.select(*SILVER_COLUMNS)
@@ -79,7 +87,7 @@ def run(
     )
 
     counts.update(finished)
-    counts["rejected_by_reason"] = quality.reject_counts(landed)
+    counts["rejected_by_reason"] = quality.reject_counts(refused)
     report = {name: counts[name] for name in quality.REPORT_FIELDS}
     write_report(spark.createDataFrame([report], REPORT_SCHEMA), paths["report"])
     return report

@@ -9,7 +9,6 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import ROOT, TESTDATA
 from eventstrata import ReconciliationError, StreamConfig, run
 from eventstrata.catalog.delivery_stream import physical_lines
 from eventstrata.config import LAYOUT
@@ -20,7 +19,7 @@ from eventstrata.operators.lifecycle import order_columns
 from eventstrata.operators.validate import QUARANTINE_COLUMNS
 from eventstrata.plans import job
 from eventstrata.sources.lines import land_files
-from helpers import event
+from helpers import ROOT, TESTDATA, event
 
 TABLES = [name for name in LAYOUT if name != "report"]
 
@@ -216,6 +215,22 @@ def test_gate_withholds_silver_gold_and_report(spark, finished, tmp_path, monkey
     assert written == {"bronze", "quarantine"}
 
 
+@pytest.mark.parametrize("fault", ["lost", "doubled"])
+def test_gate_sees_rows_lost_or_doubled_in_validation(spark, finished, tmp_path, monkeypatch, fault):
+    source, _, _ = finished
+    honest = job.validate
+
+    def faulty(bronze, config):
+        rows = honest(bronze, config)
+        return rows.where("_source_row % 2 = 0") if fault == "lost" else rows.unionByName(rows)
+
+    monkeypatch.setattr(job, "validate", faulty)
+    with pytest.raises(ReconciliationError, match="raw_events=1055"):
+        run(spark, source, str(tmp_path / "out"))
+    written = {name for name, rel in LAYOUT.items() if (tmp_path / "out" / rel).exists()}
+    assert written == {"bronze", "quarantine"}
+
+
 def test_empty_input(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "empty.jsonl").write_text("\n \n\r\n")
