@@ -9,20 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventstrata.config import PAYLOAD_FIELDS
 from eventstrata.session import scratch_path, spread
 
 # Lines of this many consecutive events share one landing file.
 EVENTS_PER_FILE = 4096
-FIELD_ORDER = (
-    "event_id",
-    "order_id",
-    "event_type",
-    "event_time",
-    "ingested_at",
-    "city",
-    "rider_id",
-    "supplier_id",
-)
 
 
 def _every(n: int) -> Column:
@@ -68,7 +59,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _line(event_id: Column) -> Column:
     """The event as compact JSON text under the given id."""
-    values = {c: F.col(c) for c in FIELD_ORDER}
+    values = {c: F.col(c) for c in PAYLOAD_FIELDS}
     values["event_id"] = event_id
     values["order_id"] = F.when(~_every(103), F.col("order_id"))
     values["event_time"] = F.when(_every(109), "not-a-timestamp").otherwise(

@@ -108,7 +108,8 @@ class Layers:
 
     @cached_property
     def typed(self) -> DataFrame:
-        return dedup_input(valid(self.validated))
+        """Valid rows; from the staged ones where a query has staged them already."""
+        return dedup_input(valid(self.__dict__.get("rows", self.validated)))
 
     @cached_property
     def counted_silver(self) -> DataFrame:
@@ -180,7 +181,7 @@ def bronze_events(x: Layers) -> DataFrame:
 @query
 def ref_event_types(x: Layers) -> DataFrame:
     seen = x.facts.groupBy("event_type").agg(F.count("*").alias("events"))
-    return F.broadcast(vocabulary(x.spark)).join(seen, "event_type", "left")
+    return vocabulary(x.spark).join(seen, "event_type", "left")
 
 
 @query

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventstrata.functions.rates import safe_rate
@@ -14,12 +15,27 @@ from eventstrata.functions.times import seconds_between
 def lateness_percentiles(silver: DataFrame, shares: Sequence[float]) -> DataFrame:
     """Lateness distribution per event type, to choose the threshold from.
 
-    The sketch keeps a bounded state per type and merges map-side.
+    Exact and discrete at every size: events are first counted per whole second, and the
+    running totals of that histogram give the percentiles. A type's histogram is bounded by
+    the seconds that occur, not by its events. Shares count to a thousandth.
     """
-    sketch = F.percentile_approx("lateness_seconds", list(shares), 10_000)
-    named = [F.col("_p")[i].alias(f"p{round(s * 100)}") for i, s in enumerate(shares)]
-    per_type = silver.groupBy("event_type").agg(F.count("*").alias("events"), sketch.alias("_p"))
-    return per_type.select("event_type", "events", *named)
+    histogram = silver.groupBy("event_type", "lateness_seconds").agg(F.count("*").alias("_n"))
+    up_to = W.partitionBy("event_type").orderBy("lateness_seconds")
+    reached = histogram.select(
+        "event_type",
+        "lateness_seconds",
+        "_n",
+        F.sum("_n").over(up_to).alias("_up_to"),
+        F.sum("_n").over(W.partitionBy("event_type")).alias("_all"),
+    )
+
+    def percentile(share: float) -> Column:
+        enough = F.col("_up_to") * 1000 >= F.col("_all") * round(share * 1000)
+        return F.min(F.when(enough, F.col("lateness_seconds"))).alias(f"p{round(share * 100)}")
+
+    return reached.groupBy("event_type").agg(
+        F.sum("_n").alias("events"), *[percentile(s) for s in shares]
+    )
 
 
 def daily_quality(silver: DataFrame) -> DataFrame:
@@ -59,9 +75,10 @@ def duplicate_estimate(typed: DataFrame, error: float = 0.02) -> DataFrame:
 def stuck_orders(silver: DataFrame, orders: DataFrame, idle_hours: int) -> DataFrame:
     """Open orders whose last event is older than the bound, against the newest event seen.
 
-    No clock: the newest event time is a scalar subquery on Silver.
+    No clock: the newest event time is a scalar subquery on Silver. An event counts no later
+    than it arrived, so one with a future time does not make every open order stuck.
     """
-    newest = silver.agg(F.max("event_time")).scalar()
+    newest = silver.agg(F.max(F.least("event_time", "ingested_at"))).scalar()
     last = silver.groupBy("order_id").agg(F.max("event_time").alias("last_event_at"))
     idle = last.where(
         F.col("last_event_at") < newest - F.make_dt_interval(hours=F.lit(idle_hours))

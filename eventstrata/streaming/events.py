@@ -98,8 +98,10 @@ def deduplicate_batches(
         rows = stage(rows, scratch_path(spark, "micro-batch"))
         unseen = drop_exact(rows, config).withColumn("event_date", F.to_date("event_time"))
         seen = _earlier_batches(unseen, seen_path, batch_id)
-        dates = rows.select(F.to_date("event_time").alias("d"))
-        newest = dates.unionByName(seen.select(F.col("event_date").alias("d"))).agg(F.max("d"))
+        # An event moves the horizon no further than its own arrival, so a clock that runs
+        # ahead cannot put all later events behind it.
+        reached = F.to_date(F.least("event_time", "ingested_at")).alias("d")
+        newest = rows.select(reached).unionByName(seen.select(reached)).agg(F.max("d"))
         cutoff = F.date_sub(F.lit(newest.first()[0] or dt.date.min), horizon_days)
 
         behind = F.to_date("event_time") < cutoff

@@ -11,6 +11,7 @@ from eventstrata.streaming import events as streams
 from eventstrata.operators.dedup import dedup_input, silver_with_counts
 from eventstrata.operators.validate import valid, validate
 from eventstrata.sources.lines import land_files
+from helpers import bronze, event
 from test_run import write_stream
 
 
@@ -71,3 +72,15 @@ def test_restarted_stream_takes_only_new_files(spark, tmp_path):
     rows = streams.stream_validated(streams.stream_bronze(spark, source))
     streams.append_to(rows, out, progress).awaitTermination()
     assert spark.read.parquet(out).count() == 1056
+
+
+def test_a_clock_that_runs_ahead_does_not_expire_later_events(spark):
+    silver, seen, expired = (scratch_path(spark, n) for n in ("silver", "seen", "expired"))
+    handler = streams.deduplicate_batches(silver, seen, expired, horizon_days=30)
+    days = ["2026-09-03", "2031-01-01", "2026-09-04", "2026-09-05"]
+    for i, day in enumerate(days):
+        arrival = "2026-09-04T00:00:00Z" if day.startswith("2031") else f"{day}T10:00:05Z"
+        line = event(f"e{i}", event_time=f"{day}T10:00:00Z", ingested_at=arrival, order_id=f"o{i}")
+        handler(dedup_input(valid(validate(bronze(spark, line)))), i)
+    assert {r["event_id"] for r in spark.read.parquet(silver).collect()} == {"e0", "e1", "e2", "e3"}
+    assert spark.read.parquet(expired).count() == 0
