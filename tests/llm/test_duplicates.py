@@ -130,6 +130,35 @@ def test_fuzzy_passage_and_clean_documents(spark):
     assert left[10] == " ".join(rows[0][1]) and left[13] == " ".join(rows[3][1])
 
 
+def test_passage_whose_short_seeds_all_occur_earlier(spark):
+    rng = random.Random(5)
+
+    def noise(n):
+        return [f"n{rng.randrange(10**9)}" for _ in range(n)]
+
+    passage = noise(60)
+    # Every five words of the passage are a phrase of earlier documents of its own.
+    rows = [(i, noise(20) + passage[i // 12 : i // 12 + 5] + noise(20)) for i in range(12 * 56)]
+    rows += [(1000, noise(30) + passage + noise(30)), (1001, noise(9) + passage + noise(50)), (1002, passage[:20] + noise(80))]
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    found = {(r["doc_id"], r["match_doc_id"], r["start"], r["end"]) for r in substrings.repeated_passages(table).collect()}
+    assert found == {(1001, 1000, 9, 69)}
+
+
+def test_every_exact_run_of_fifty_words_has_an_anchor():
+    rng = np.random.default_rng(2)
+    how = substrings.Passages()
+    run = rng.integers(0, 2**32, 50).astype(np.uint64)
+    for _ in range(20):
+        kept = []
+        for n in rng.integers(0, 90, 2):
+            words = np.r_[rng.integers(0, 2**32, n).astype(np.uint64), run, rng.integers(0, 2**32, 40).astype(np.uint64)]
+            at, keys = substrings.kept_seeds(words, how)
+            inside = (at >= n) & (at <= n + 50 - how.anchor) & (keys % 2 == 1)
+            kept.append({(int(p) - int(n), int(k)) for p, k in zip(at[inside], keys[inside])})
+        assert kept[0] & kept[1]
+
+
 def test_passages_awkward_rows(awkward, nothing):
     found = substrings.repeated_passages(awkward).collect()
     assert {(r["doc_id"], r["match_doc_id"], r["start"], r["end"]) for r in found} == {(6, 5, 2, 72)}
