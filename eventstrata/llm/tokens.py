@@ -8,6 +8,7 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import tiktoken
+from tokenizers import Tokenizer
 
 # The pattern that splits text before the merges of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -37,6 +38,18 @@ def load_encoder(path: str, special: bool = True) -> Callable[[str], list[int]]:
     encoding = tiktoken.Encoding(
         os.path.basename(path), pat_str=PATTERN, mergeable_ranks=vocabulary, special_tokens=added
     )
-    if not special:
-        return encoding.encode_ordinary
-    return lambda text: encoding.encode(text, allowed_special="all")
+    allowed = "all" if special else set()
+
+    @lru_cache(maxsize=1)
+    def plain() -> Tokenizer:
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = not special
+        return tokenizer
+
+    def encode(text: str) -> list[int]:
+        try:
+            return encoding.encode(text, allowed_special=allowed, disallowed_special=())
+        except ValueError:  # the pattern's stack overflows on very long runs of white space
+            return plain().encode(text, add_special_tokens=False).ids
+
+    return encode

@@ -29,6 +29,16 @@ def test_encoder_equals_library(library, texts):
         assert encode(text) == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, "word " * 9 + "\n " * 300_000 + "<|endoftext|> end", "a" * 300_000])
+def test_encoder_takes_very_long_runs(library, text):
+    assert load_encoder(PATH)(text) == library.encode(text, add_special_tokens=False).ids
+    library.encode_special_tokens = True
+    try:
+        assert load_encoder(PATH, special=False)(text) == library.encode(text, add_special_tokens=False).ids
+    finally:
+        library.encode_special_tokens = False
+
+
 def check_pack(lengths, window):
     pieces = packing.pack(lengths, window)
     covered = sorted((d, s, n) for sequence in pieces for d, s, n in sequence)

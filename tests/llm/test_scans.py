@@ -125,3 +125,10 @@ def test_pieces_of_tables(awkward, nothing, library):
     digest = pieces.encoded_digest(awkward, MODEL).collect()
     assert len(digest) == len(AWKWARD) and all(r["round_trip"] for r in digest)
     assert pieces.encoded_digest(nothing, MODEL).count() == 0
+
+
+def test_secrets_in_long_awkward_texts(spark, tmp_path):
+    long = "eyJ" * 200_000 + " -----BEGIN " + "A " * 200_000 + "token" * 100_000 + " " * 100_000
+    rows = spark.createDataFrame([(1, long + "AKIA" + "Q" * 16), (2, long)], "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in secrets.scan(rows, str(tmp_path / "ledger")).collect()}
+    assert found == {1: [("access", len(long), len(long) + 20)], 2: []}
