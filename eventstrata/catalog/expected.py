@@ -541,6 +541,9 @@ numbered AS (
         "sink_partitioned_roundtrip": _q(
             _TO_SILVER, f"SELECT {_SILVER_COLUMNS}, {_LINEAGE} FROM silver"
         ),
+        "published_bronze": _q(
+            STREAM + BRONZE, "SELECT * EXCLUDE (_source_file, _source_row) FROM bronze"
+        ),
         "published_silver": _q(_TO_SILVER, f"SELECT {_SILVER_COLUMNS} FROM silver"),
         "published_quarantine": _q(
             _TO_VALIDATED,
@@ -612,6 +615,15 @@ numbered AS (
                 max(ingested_at) AS newest_arrival, max(lateness_seconds) AS worst_lag
             FROM silver GROUP BY 1""",
         ),
+        "reject_rates_daily": _q(
+            _TO_VALIDATED,
+            """SELECT event_date, reject_reason, rejected_rows, "rows", rejected_rows / "rows" AS reject_rate
+            FROM (SELECT coalesce(event_time, ingested_at)::DATE AS event_date, reject_reason,
+                    count(*) AS rejected_rows,
+                    sum(count(*)) OVER (PARTITION BY coalesce(event_time, ingested_at)::DATE)::BIGINT AS "rows"
+                FROM validated GROUP BY 1, 2)
+            WHERE reject_reason IS NOT NULL""",
+        ),
         "attempts_distribution": _q(
             _TO_ORDERS,
             "SELECT allocation_attempts, count(*) AS orders FROM orders_now GROUP BY 1",

@@ -549,6 +549,11 @@ def _published(x: Layers, layer: str) -> DataFrame:
     return x.spark.read.parquet(f"{x.published}/{C.LAYOUT[layer]}")
 
 
+@query
+def published_bronze(x: Layers) -> DataFrame:
+    return _published(x, "bronze").drop("_source_row", "_source_file")
+
+
 @query
 def published_silver(x: Layers) -> DataFrame:
     return _published(x, "silver").drop("_source_row", "_source_file")
@@ -650,6 +655,11 @@ def quality_monitor_daily(x: Layers) -> DataFrame:
     return monitors.daily_quality(x.counted_silver)
 
 
+@query
+def reject_rates_daily(x: Layers) -> DataFrame:
+    return monitors.reject_rates(x.validated)
+
+
 @query
 def attempts_distribution(x: Layers) -> DataFrame:
     return monitors.attempts_drift(x.orders)

@@ -95,6 +95,9 @@ class StreamConfig:
             raise ValueError(f"at most {MAX_EVENT_TYPES} event types, got {len(names)}")
         if self.bronze_order not in ("scan", "total"):
             raise ValueError(f"bronze_order must be 'scan' or 'total', got {self.bronze_order!r}")
+        missing = [f for f in PAYLOAD_FIELDS if f not in self.fields]
+        if missing or len(set(self.fields)) != len(self.fields):
+            raise ValueError(f"fields must be unique and include {PAYLOAD_FIELDS}, got {self.fields}")
         for role in (self.creation, self.allocation, self.acceptance, self.success, self.abort):
             if role not in names:
                 raise ValueError(f"role type {role!r} is not in the vocabulary")

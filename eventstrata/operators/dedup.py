@@ -10,34 +10,15 @@ from pyspark.sql import functions as F
 from eventstrata.config import DEFAULT, StreamConfig
 from eventstrata.functions.times import seconds_between
 
-SILVER_COLUMNS = (
-    "event_id",
-    "order_id",
-    "event_type",
-    "event_time",
-    "ingested_at",
-    "event_date",
-    "city",
-    "rider_id",
-    "supplier_id",
-    "lateness_seconds",
-    "is_late",
-    "_source_row",
-    "_source_file",
-)
-DEDUP_COLUMNS = (
-    "event_id",
-    "order_id",
-    "event_type",
-    "event_time",
-    "ingested_at",
-    "city",
-    "rider_id",
-    "supplier_id",
-    "_payload_md5",
-    "_source_file",
-    "_source_row",
-)
+
+def silver_columns(config: StreamConfig = DEFAULT) -> tuple[str, ...]:
+    """The fields, the event date behind the arrival, lateness and lineage."""
+    at = config.fields.index("ingested_at") + 1
+    head, tail = config.fields[:at], config.fields[at:]
+    return (*head, "event_date", *tail, "lateness_seconds", "is_late", "_source_row", "_source_file")
+
+
+SILVER_COLUMNS = silver_columns()
 SILVER_KEYS = ("order_id", "event_time", "event_id")
 COPY_COUNTS = ("_valid_rows", "_exact_survivors")
 
@@ -67,9 +48,9 @@ def keep_first(
     return best.select(*keys, "_best.*", copies, *totals)
 
 
-def dedup_input(validated: DataFrame) -> DataFrame:
+def dedup_input(validated: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
     """The columns of valid rows that outlive deduplication; of the payload, its digest."""
-    return validated.select(*DEDUP_COLUMNS)
+    return validated.select(*config.fields, "_payload_md5", "_source_file", "_source_row")
 
 
 def drop_exact(typed: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
@@ -99,7 +80,7 @@ def to_silver(survivors: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame
         "lateness_seconds", lateness
     )
     late = F.col("lateness_seconds") > config.lateness_threshold_seconds
-    return timed.withColumn("is_late", late).select(*SILVER_COLUMNS, *COPY_COUNTS)
+    return timed.withColumn("is_late", late).select(*silver_columns(config), *COPY_COUNTS)
 
 
 def silver_with_counts(typed: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:

@@ -56,6 +56,19 @@ def daily_quality(silver: DataFrame) -> DataFrame:
     )
 
 
+def reject_rates(validated: DataFrame) -> DataFrame:
+    """Rejected rows and their share of all rows, per event date and reason.
+
+    The date is the event's, else that of its arrival; rows with neither count under NULL.
+    """
+    date = F.to_date(F.coalesce("event_time", "ingested_at")).alias("event_date")
+    counted = validated.groupBy(date, "reject_reason").agg(F.count("*").alias("rejected_rows"))
+    all_rows = F.sum("rejected_rows").over(W.partitionBy("event_date")).alias("rows")
+    rates = counted.select("event_date", "reject_reason", "rejected_rows", all_rows)
+    rate = safe_rate(F.col("rejected_rows"), F.col("rows")).alias("reject_rate")
+    return rates.where("reject_reason is not null").select("*", rate)
+
+
 def attempts_drift(orders: DataFrame) -> DataFrame:
     """Distribution of allocation attempts, for drift alarms."""
     return orders.groupBy("allocation_attempts").agg(F.count("*").alias("orders"))

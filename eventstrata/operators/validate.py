@@ -13,20 +13,12 @@ from eventstrata.functions.text import blank_to_null
 from eventstrata.functions.times import parse_utc
 from eventstrata.sources.vocabulary import vocabulary
 
-QUARANTINE_COLUMNS = (
-    "_source_row",
-    "_source_file",
-    "reject_reason",
-    "event_id",
-    "order_id",
-    "event_type",
-    "event_time_raw",
-    "ingested_at_raw",
-    "city",
-    "rider_id",
-    "supplier_id",
-    "_raw_payload",
-)
+def quarantine_columns(config: StreamConfig = DEFAULT) -> tuple[str, ...]:
+    fields = [f"{f}_raw" if f in C.TIMESTAMP_FIELDS else f for f in config.fields]
+    return ("_source_row", "_source_file", "reject_reason", *fields, "_raw_payload")
+
+
+QUARANTINE_COLUMNS = quarantine_columns()
 
 
 def normalize(bronze: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
@@ -87,8 +79,9 @@ def slim(validated: DataFrame) -> DataFrame:
     )
 
 
-def rejected(validated: DataFrame) -> DataFrame:
-    return validated.where(F.col("reject_reason").isNotNull()).select(*QUARANTINE_COLUMNS)
+def rejected(validated: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
+    bad = validated.where(F.col("reject_reason").isNotNull())
+    return bad.select(*quarantine_columns(config))
 
 
 def valid(validated: DataFrame) -> DataFrame:

@@ -10,10 +10,10 @@ from pyspark.sql import types as T
 from eventstrata.config import DEFAULT, StreamConfig
 from eventstrata.operators import quality
 from eventstrata.operators.cohort import DAILY_KEYS, daily_metrics
-from eventstrata.operators.dedup import SILVER_COLUMNS, SILVER_KEYS, dedup_input, silver_with_counts
+from eventstrata.operators.dedup import SILVER_KEYS, dedup_input, silver_columns, silver_with_counts
 from eventstrata.operators.lifecycle import ORDER_KEYS, reconstruct
 from eventstrata.operators.validate import rejected, slim, valid, validate
-from eventstrata.session import configure, in_parallel, reread, scratch_path, stage
+from eventstrata.session import configure, in_parallel, reread, scratch_path, stage, workspace
 from eventstrata.sinks.tables import (
     write_ordered,
     write_report,
@@ -45,9 +45,17 @@ def run(
     restartable from files. Bronze and the quarantine are evidence and always written;
     Silver, Gold and the report replace their predecessors only after the counts add up:
     the rows of the written Bronze against those of the written quarantine and Silver, so
-    that a row lost or multiplied anywhere after landing stops the run.
+    that a row lost or multiplied anywhere after landing stops the run. Staged tables are
+    removed at the end, also of a run that fails.
     """
     configure(spark)
+    with workspace(spark, "run"):
+        return _run(spark, input_path, output_dir, config)
+
+
+def _run(
+    spark: SparkSession, input_path: str, output_dir: str, config: StreamConfig
+) -> dict[str, Any]:
     paths = {name: f"{output_dir.rstrip('/')}/{rel}" for name, rel in config.layout.items()}
     codec = config.compression
 
@@ -59,8 +67,8 @@ def run(
     bronze = reread(bronze, paths["bronze"])
 
     rows = stage(slim(validate(bronze, config)), scratch_path(spark, "validated"))
-    deduplicated = silver_with_counts(dedup_input(valid(rows)), config)
-    quarantine = rejected(rows)
+    deduplicated = silver_with_counts(dedup_input(valid(rows), config), config)
+    quarantine = rejected(rows, config)
     raw, _, silver = in_parallel(
         spark,
         lambda: bronze.count(),
@@ -75,7 +83,7 @@ def run(
     counts = {"raw_events": raw, **refused, **counts}
     quality.assert_reconciles(counts)
 
-    silver = silver.select(*SILVER_COLUMNS)
+    silver = silver.select(*silver_columns(config))
     write_ordered(silver, paths["silver"], SILVER_KEYS, codec)
     orders = reconstruct(reread(silver, paths["silver"]), config)
     write_ordered(orders, paths["orders"], ORDER_KEYS, codec)

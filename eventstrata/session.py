@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from functools import cache
 from typing import Any
 
@@ -35,8 +37,28 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_folder()
 
 
+_workspace: ContextVar[str | None] = ContextVar("workspace", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/eventstrata/{name}-{uuid.uuid4().hex}"
+    folder = _workspace.get() or f"{scratch_root(spark)}/eventstrata"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def workspace(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder for everything staged inside the block; removed at its end, also on failure.
+
+    Nothing that reads staged tables may outlive the block.
+    """
+    folder = scratch_path(spark, name)
+    token = _workspace.set(folder)
+    try:
+        yield folder
+    finally:
+        _workspace.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -74,5 +96,7 @@ def stage_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
 def in_parallel(spark: SparkSession, *tasks: Callable[[], Any]) -> list[Any]:
     """Run independent Spark actions at the same time, so that one fills the other's tail."""
     with ThreadPoolExecutor(len(tasks)) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        running = [
+            pool.submit(copy_context().run, inheritable_thread_target(spark)(task)) for task in tasks
+        ]
         return [job.result() for job in running]

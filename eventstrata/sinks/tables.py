@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventstrata.session import scratch_path, stage
+from eventstrata.session import scratch_path, stage, workspace
 
 
 def write_ordered(
@@ -69,8 +69,9 @@ def restate_dates(
 
     The rows are staged first: their source must not change while they are computed.
     """
-    staged = stage(df, scratch_path(df.sparkSession, "restatement"))
-    write_by_date(staged, path, date, keys, compression)
+    spark = df.sparkSession
+    with workspace(spark, "restate"):
+        write_by_date(stage(df, scratch_path(spark, "rows")), path, date, keys, compression)
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -15,7 +15,7 @@ from eventstrata.config import DEFAULT, StreamConfig
 from eventstrata.functions.times import seconds_between
 from eventstrata.operators.dedup import dedup_input, drop_exact, drop_semantic
 from eventstrata.operators.validate import valid, validate
-from eventstrata.session import scratch_path, stage
+from eventstrata.session import reread, scratch_path, stage, workspace
 from eventstrata.sinks.tables import write_scan_order
 from eventstrata.sources.lines import land_rows, payload_lines
 
@@ -75,6 +75,26 @@ def _earlier_batches(like: DataFrame, path: str, batch_id: int) -> DataFrame:
     return stored.where(F.col("batch_id") < batch_id).drop("batch_id")
 
 
+def _store_by_date(df: DataFrame, path: str) -> DataFrame:
+    """Write date folders; adaptive rebalancing joins small dates and splits a big one."""
+    dealt = df.hint("rebalance", "event_date")
+    dealt.write.mode("overwrite").option("compression", "zstd").partitionBy("event_date").parquet(path)
+    return reread(df, path)
+
+
+def _newest_date(rows: DataFrame, path: str, batch_id: int) -> dt.date | None:
+    """The newest event date up to this batch; each batch stores it for the next one.
+
+    An event moves it no further than its own arrival, so a clock that runs ahead cannot
+    put all later events behind the horizon.
+    """
+    newest = rows.agg(F.max(F.to_date(F.least("event_time", "ingested_at"))).alias("newest"))
+    if batch_id:
+        before = reread(newest, batch_folder(path, batch_id - 1))
+        newest = newest.unionByName(before).agg(F.max("newest").alias("newest"))
+    return stage(newest, batch_folder(path, batch_id)).first()[0]
+
+
 def deduplicate_batches(
     silver_path: str,
     seen_path: str,
@@ -91,25 +111,29 @@ def deduplicate_batches(
     instead of being dropped. Between batches the first processed copy stays, not the
     earliest ingested one: the business keys equal the batch result, the surviving ids may
     not.
+
+    Stored tables have date folders, so a batch reads those within the horizon only, and
+    the newest date is kept beside the index (``seen_path`` and "-newest"): what a batch
+    reads is bounded by the horizon, not by the age of the stream. Batch ids follow each other.
     """
 
     def handle(rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        rows = stage(rows, scratch_path(spark, "micro-batch"))
+        with workspace(rows.sparkSession, "micro-batch"):
+            deduplicate(stage(rows, scratch_path(rows.sparkSession, "rows")), batch_id)
+
+    def deduplicate(rows: DataFrame, batch_id: int) -> None:
         unseen = drop_exact(rows, config).withColumn("event_date", F.to_date("event_time"))
         seen = _earlier_batches(unseen, seen_path, batch_id)
-        # An event moves the horizon no further than its own arrival, so a clock that runs
-        # ahead cannot put all later events behind it.
-        reached = F.to_date(F.least("event_time", "ingested_at")).alias("d")
-        newest = rows.select(reached).unionByName(seen.select(reached)).agg(F.max("d"))
-        cutoff = F.date_sub(F.lit(newest.first()[0] or dt.date.min), horizon_days)
+        newest = _newest_date(rows, f"{seen_path}-newest", batch_id)
+        earliest = dt.date.min + dt.timedelta(horizon_days)
+        cutoff = F.lit(max(newest or earliest, earliest) - dt.timedelta(horizon_days))
 
         behind = F.to_date("event_time") < cutoff
         write_scan_order(rows.where(behind), batch_folder(expired_path, batch_id))
         ids = list(config.exact_key)
         recent = seen.where(F.col("event_date") >= cutoff).select(*ids)
         unseen = unseen.where(F.col("event_date") >= cutoff).join(recent, ids, "left_anti")
-        unseen = stage(unseen, batch_folder(seen_path, batch_id))
+        unseen = _store_by_date(unseen, batch_folder(seen_path, batch_id))
 
         survivors = drop_semantic(unseen, config)
         silver = _earlier_batches(survivors, silver_path, batch_id)
@@ -120,7 +144,7 @@ def deduplicate_batches(
             for part in config.semantic_key
         ]
         fresh = new.join(known, reduce(Column.__and__, same), "left_anti")
-        write_scan_order(fresh, batch_folder(silver_path, batch_id))
+        _store_by_date(fresh, batch_folder(silver_path, batch_id))
 
     return handle
 
@@ -133,10 +157,11 @@ def route_by_lateness(
     def handle(rows: DataFrame, batch_id: int) -> None:
         lag = seconds_between(F.col("event_time"), F.col("ingested_at"))
         timed = rows.withColumn("lateness_seconds", lag)
-        timed = stage(timed, scratch_path(rows.sparkSession, "micro-batch"))
         too_late = F.col("lateness_seconds") > allowed_seconds
-        write_scan_order(timed.where(~too_late), batch_folder(on_time_path, batch_id))
-        write_scan_order(timed.where(too_late), batch_folder(late_path, batch_id))
+        with workspace(rows.sparkSession, "micro-batch"):
+            timed = stage(timed, scratch_path(rows.sparkSession, "rows"))
+            write_scan_order(timed.where(~too_late), batch_folder(on_time_path, batch_id))
+            write_scan_order(timed.where(too_late), batch_folder(late_path, batch_id))
 
     return handle
 
@@ -149,4 +174,4 @@ def stream_valid(
 ) -> DataFrame:
     """Typed valid rows of new files, in the form both handlers take."""
     bronze = stream_bronze(spark, path, config, files_per_trigger)
-    return dedup_input(valid(stream_validated(bronze, config)))
+    return dedup_input(valid(stream_validated(bronze, config)), config)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from eventstrata.operators.dedup import dedup_input, silver_with_counts
 from eventstrata.operators.validate import valid, validate
-from eventstrata.session import scratch_path, stage
+from eventstrata.session import scratch_path, scratch_root, stage
 from eventstrata.sources.lines import land_rows
 
 ROOT = Path(__file__).resolve().parents[1]
@@ -46,3 +46,8 @@ def silver(spark, *lines):
 
 def column(df, name, order):
     return [r[name] for r in df.orderBy(order).select(F.col(name)).collect()]
+
+
+def staged_folders(spark):
+    root = Path(scratch_root(spark).removeprefix("file:"), "eventstrata")
+    return {p.name for p in root.glob("*")}

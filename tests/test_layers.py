@@ -200,3 +200,5 @@ def test_config_is_checked():
         StreamConfig(event_types=twice)
     with pytest.raises(ValueError, match="role"):
         StreamConfig(creation="NOPE")
+    with pytest.raises(ValueError, match="fields"):
+        StreamConfig(fields=DEFAULT.fields[1:])

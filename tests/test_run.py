@@ -18,8 +18,9 @@ from eventstrata.operators.dedup import SILVER_COLUMNS
 from eventstrata.operators.lifecycle import order_columns
 from eventstrata.operators.validate import QUARANTINE_COLUMNS
 from eventstrata.plans import job
+from eventstrata.session import scratch_path, stage, workspace
 from eventstrata.sources.lines import land_files
-from helpers import ROOT, TESTDATA, event
+from helpers import ROOT, TESTDATA, event, staged_folders
 
 TABLES = [name for name in LAYOUT if name != "report"]
 
@@ -274,3 +275,18 @@ def test_missing_input_fails_at_once(spark, tmp_path):
 def test_output_names_are_documented():
     readme = (ROOT / "README.md").read_text()
     assert all(path in readme for path in LAYOUT.values())
+
+
+def test_further_field_reaches_every_layer_and_nothing_staged_stays(spark, tmp_path):
+    config = StreamConfig(fields=(*StreamConfig().fields, "channel"))
+    lines = [event("e1", channel="app"), event("e1", channel="app"), event(None, channel="web")]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/x.jsonl").write_text("".join(json.dumps(line) + "\n" for line in lines))
+    before = staged_folders(spark)
+    run(spark, str(tmp_path / "in"), str(tmp_path / "out"), config)
+    with pytest.raises(ZeroDivisionError), workspace(spark, "fails"):
+        stage(spark.range(3), scratch_path(spark, "rows"))
+        raise ZeroDivisionError
+    assert staged_folders(spark) == before
+    for name, value in (("silver", "app"), ("quarantine", "web")):
+        assert [r["channel"] for r in read(spark, tmp_path / "out", name).collect()] == [value]

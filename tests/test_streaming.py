@@ -11,7 +11,7 @@ from eventstrata.streaming import events as streams
 from eventstrata.operators.dedup import dedup_input, silver_with_counts
 from eventstrata.operators.validate import valid, validate
 from eventstrata.sources.lines import land_files
-from helpers import bronze, event
+from helpers import bronze, event, staged_folders
 from test_run import write_stream
 
 
@@ -84,3 +84,19 @@ def test_a_clock_that_runs_ahead_does_not_expire_later_events(spark):
         handler(dedup_input(valid(validate(bronze(spark, line)))), i)
     assert {r["event_id"] for r in spark.read.parquet(silver).collect()} == {"e0", "e1", "e2", "e3"}
     assert spark.read.parquet(expired).count() == 0
+
+
+def test_stored_batches_are_pruned_by_date_and_staged_rows_removed(spark, tmp_path):
+    source = write_stream(spark, tmp_path / "in", 1)
+    typed = batch_typed(spark, source)
+    silver, seen, expired = (str(tmp_path / n) for n in ("silver", "seen", "expired"))
+    handler = streams.deduplicate_batches(silver, seen, expired, horizon_days=5)
+    before = staged_folders(spark)
+    handler(typed, 0)
+    assert staged_folders(spark) == before
+    days = {p.name for p in Path(seen).glob("batch_id=0/event_date=*")}
+    assert min(days) == "event_date=2024-01-25" and max(days) == "event_date=2024-01-30"
+    like = spark.read.parquet(seen).drop("batch_id")
+    stored = streams._earlier_batches(like, seen, 1).where("event_date >= DATE '2024-01-28'")
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
