@@ -76,8 +76,9 @@ class StreamConfig:
     # "total" range-sorts Bronze by file and line, as published; "scan" writes it without a
     # shuffle, in order inside a file only.
     bronze_order: str = "total"
-    # Above this many input blocks the line offsets are joined by shuffle, not broadcast.
-    max_broadcast_blocks: int = 500_000
+    # Above this many input blocks (500 TB in blocks of 128 MB) the line offsets are joined by
+    # shuffle, not broadcast. A block is four longs, some 64 bytes in the broadcast table.
+    max_broadcast_blocks: int = 4_000_000
     # Above this many touched orders their events are found by a salted join, not a broadcast.
     max_broadcast_ids: int = 1_000_000
     # Types that the lifecycle and cohort metrics refer to by role.

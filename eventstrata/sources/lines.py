@@ -43,19 +43,20 @@ def number_lines(payloads: DataFrame, config: StreamConfig = DEFAULT) -> DataFra
 
     No global window: a first scan counts the lines of every block, a running total per
     file over those counts gives each block its offset, and the second scan adds the
-    position inside the block. Only block offsets are joined, by broadcast while their
-    number is small. Both scans must cut the files alike; a row that falls outside its
-    block's range stops the job instead of getting a wrong ordinal.
+    position inside the block. Only block offsets are joined, as four numbers per block and
+    by broadcast up to ``max_broadcast_blocks``. Both scans must cut the files alike; a row
+    that falls outside its block's range, also by a clash of two blocks' hashes, stops the
+    job instead of getting a wrong ordinal.
     """
     spark = payloads.sparkSession
-    block = ["_path", "_block"]
     placed = payloads.withColumn("_at", F.monotonically_increasing_id())
-    counted = placed.groupBy(*block).agg(
+    counted = placed.groupBy("_path", "_block").agg(
         F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.count("*").alias("_lines")
     )
     before = W.partitionBy("_path").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    key = F.xxhash64("_path", "_block").alias("_key")
     offsets = counted.select(
-        *block,
+        key,
         "_first",
         "_last",
         F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_offset"),
@@ -67,9 +68,10 @@ def number_lines(payloads: DataFrame, config: StreamConfig = DEFAULT) -> DataFra
     ordinal = F.col("_offset") + F.col("_at") - F.col("_first") + 1
     misplaced = F.raise_error(F.lit("input was split differently between two scans"))
     return (
-        placed.join(offsets, block, "left")
+        placed.withColumn("_key", key)
+        .join(offsets, "_key", "left")
         .withColumn("_source_row", F.when(in_block, ordinal).otherwise(misplaced.cast("long")))
-        .drop("_at", "_first", "_last", "_offset")
+        .drop("_key", "_at", "_first", "_last", "_offset")
     )
 
 

@@ -14,6 +14,7 @@ from eventstrata.operators.lifecycle import reconstruct
 from eventstrata.operators.validate import valid, validate
 from eventstrata.session import scratch_path, stage
 from eventstrata.config import StreamConfig
+from eventstrata.sources.lines import number_lines, payload_lines, scan_lines
 from helpers import bronze, event, silver
 
 def plan(df) -> str:
@@ -86,3 +87,13 @@ def test_salted_selection_leaves_an_exchange_with_combining_behind_it(stored, no
     exchanges = shuffles(plan(rows.groupBy("order_id").agg(F.min("event_time"))))
     assert len([e for e in exchanges if "_salt" in e]) == 2
     assert re.match(r"hashpartitioning\(order_id#\d+, \d+\)", exchanges[0])
+
+
+def test_landing_joins_numbers_only_and_moves_no_payload(spark, tmp_path, nothing_small):
+    (tmp_path / "a.jsonl").write_text("{}\n\n{}\n")
+    numbered = number_lines(payload_lines(scan_lines(spark, str(tmp_path))))
+    text = plan(numbered)
+    assert "BroadcastHashJoin" in text and not shuffles(text)
+    offsets = re.findall(r"ReadSchema: struct<(_key:\S+)>", text)
+    assert offsets == ["_key:bigint,_first:bigint,_last:bigint,_offset:bigint"]
+    assert sorted(r["_source_row"] for r in numbered.collect()) == [1, 2]
