@@ -145,6 +145,26 @@ def test_passage_whose_short_seeds_all_occur_earlier(spark):
     assert found == {(1001, 1000, 9, 69)}
 
 
+def test_two_passages_around_a_replaced_part(spark):
+    rng = random.Random(8)
+
+    def noise(n):
+        return [f"n{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows, wanted = [], set()
+    # Words of the first passage, of the replaced part on both sides, and of the second passage.
+    for i, (p, x, y, q) in enumerate([(60, 40, 40, 60), (100, 60, 60, 100), (50, 30, 30, 50), (50, 200, 90, 70)]):
+        first, second = noise(p), noise(q)
+        rows += [(2 * i, first + noise(x) + second), (2 * i + 1, noise(20) + first + noise(y) + second + noise(20))]
+        wanted |= {(2 * i + 1, 2 * i, 20, 20 + p), (2 * i + 1, 2 * i, 20 + p + y, 20 + p + y + q)}
+    kept = noise(200)
+    rows += [(100, kept), (101, kept[:90] + noise(20) + kept[110:])]
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    found = substrings.repeated_passages(table).collect()
+    assert {(r["doc_id"], r["match_doc_id"], r["start"], r["end"]) for r in found} == wanted | {(101, 100, 0, 200)}
+    assert all(r["similarity"] == (0.9 if r["doc_id"] == 101 else 1) for r in found)
+
+
 def test_every_exact_run_of_fifty_words_has_an_anchor():
     rng = np.random.default_rng(2)
     how = substrings.Passages()
