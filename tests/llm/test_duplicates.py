@@ -165,6 +165,42 @@ def test_two_passages_around_a_replaced_part(spark):
     assert all(r["similarity"] == (0.9 if r["doc_id"] == 101 else 1) for r in found)
 
 
+def test_edits_near_the_ends_of_a_passage(spark):
+    rng = random.Random(11)
+
+    def noise(n):
+        return [f"n{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows = []
+    for i in range(20):
+        passage = noise(60)
+        copy = [*passage[:5], "other", *passage[6:54], "words", *passage[55:]]
+        rows += [(2 * i, noise(30) + passage + noise(30)), (2 * i + 1, noise(40) + copy + noise(20))]
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    found = {(r["doc_id"], r["match_doc_id"], r["start"], r["end"]) for r in substrings.repeated_passages(table).collect()}
+    assert found == {(2 * i + 1, 2 * i, 40, 100) for i in range(20)}
+
+
+def test_recall_of_fuzzy_passages(spark):
+    rng = random.Random(12)
+
+    def noise(n):
+        return [f"n{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows, planted = [], {}
+    for percent in (3, 5, 10, 15):
+        for _ in range(100):
+            passage = noise(60)
+            copy = [w if rng.randrange(100) >= percent else noise(1)[0] for w in passage]
+            rows += [noise(30) + passage + noise(30), noise(40) + copy + noise(20)]
+            if sum(x == y for x, y in zip(passage, copy)) >= 48:
+                planted.setdefault(percent, set()).add(len(rows) - 1)
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"] for r in substrings.repeated_passages(table).collect()}
+    recall = {percent: len(ids & found) / len(ids) for percent, ids in planted.items()}
+    assert all(recall[p] >= least for p, least in ((3, 0.99), (5, 0.99), (10, 0.95), (15, 0.85))), recall
+
+
 def test_every_exact_run_of_fifty_words_has_an_anchor():
     rng = np.random.default_rng(2)
     how = substrings.Passages()
