@@ -201,6 +201,23 @@ def test_recall_of_fuzzy_passages(spark):
     assert all(recall[p] >= least for p, least in ((3, 0.99), (5, 0.99), (10, 0.95), (15, 0.85))), recall
 
 
+def test_passage_whose_anchors_all_occur_earlier(spark):
+    rng = random.Random(6)
+
+    def noise(n):
+        return [f"n{rng.randrange(10**9)}" for _ in range(n)]
+
+    passage, other = noise(60), noise(50)
+    # Every 16 words of the passage are in an earlier document, or earlier in the same document.
+    rows = [(i, noise(20) + passage[i : i + 16] + noise(20)) for i in range(45)]
+    rows += [(1000, noise(30) + passage + noise(30)), (1001, noise(9) + passage + noise(50))]
+    pieces = [w for i in range(0, 35) for w in [*other[i : i + 16], *noise(3)]]
+    rows += [(2000, pieces + other + noise(5)), (2001, noise(4) + other + noise(8))]
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    found = {(r["doc_id"], r["match_doc_id"], r["start"], r["end"]) for r in substrings.repeated_passages(table).collect()}
+    assert found == {(1001, 1000, 9, 69), (2001, 2000, 4, 54)}
+
+
 def test_every_exact_run_of_fifty_words_has_an_anchor():
     rng = np.random.default_rng(2)
     how = substrings.Passages()
