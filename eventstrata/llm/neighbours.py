@@ -86,6 +86,11 @@ class KdTree:
         return (gap * gap).sum(axis=1)
 
 
+def rounding(point: np.ndarray) -> float:
+    """Squared projected distances up to this may be rounding alone."""
+    return 1e-20 * float(point @ point)
+
+
 def nearest(
     tree: KdTree, ids: np.ndarray, vectors: np.ndarray, projected: np.ndarray, query: tuple, how: Search
 ) -> list[tuple[float, int]]:
@@ -94,16 +99,18 @@ def nearest(
     Buckets come by projected distance; their vectors are verified with the true distance.
     The projected square of a vector at true distance r is r squared times a chi-square
     value, so the search ends once the next projected distance would belong to a vector
-    closer than the k-th best with a probability below 1 - confidence.
+    closer than the k-th best with a probability below 1 - confidence. Equal vectors may
+    differ in the last bits of their projections, so distances have a slack for rounding.
     """
     own, vector, point, radius = query
     limit = quantile(how.confidence, how.projections)
+    slack = rounding(point)
     best: list[tuple[float, int]] = []
     reach = radius * radius
     heap = [(float(tree.outside([0], point)[0]), 0)]
     while heap:
         away, node = heappop(heap)
-        if away > limit * reach:
+        if away > limit * reach + slack:
             break
         if tree.child[node][0] >= 0:
             pair = list(tree.child[node])
@@ -112,7 +119,7 @@ def nearest(
             continue
         rows = slice(*tree.slice[node])
         gap = projected[rows] - point
-        near = np.einsum("ij,ij->i", gap, gap) <= limit * reach
+        near = np.einsum("ij,ij->i", gap, gap) <= limit * reach + slack
         gap = vectors[rows] - vector
         square = np.einsum("ij,ij->i", gap, gap)
         near &= ids[rows] != own
@@ -289,6 +296,7 @@ def nearest_neighbours(
     queries = dealt.where("is_query").dropDuplicates(["vec_id"])
     home = queries.select("region", "salt", "vec_id", "vector", F.lit(inf).alias("radius"))
     first = _meet(dealt.select("region", "salt", "vec_id", "vector"), home, width, how, directions)
+    first = stage(first, scratch_path(spark, "first-finds"))
     reached = first.groupBy(F.col("query_id").alias("vec_id")).agg(
         F.when(F.count_distinct(F.col("vec_id")) >= how.k, F.max("score")).alias("radius")
     )
@@ -301,7 +309,7 @@ def nearest_neighbours(
             row, region, part = [], [], []
             for i in range(len(point)):
                 gap = np.maximum(np.maximum(low - point[i], point[i] - high), 0)
-                near = np.flatnonzero((gap * gap).sum(axis=1) <= limit * radius[i] ** 2)
+                near = np.flatnonzero((gap * gap).sum(axis=1) <= limit * radius[i] ** 2 + rounding(point[i]))
                 for r in near.tolist():
                     for s in range(salts[r]):
                         row.append(i)
@@ -314,7 +322,8 @@ def nearest_neighbours(
     visits = bounded.mapInArrow(route, "vec_id long, vector array<double>, region int, salt int, radius double")
     visits = stage(visits, scratch_path(spark, "visits"))
     found = _meet(dealt.select("region", "salt", "vec_id", "vector"), visits, width, how, directions)
-    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    # What the first pass found stays a candidate.
+    found = found.unionByName(first).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = W.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= how.k)
     return ranked.select("query_id", "rank", "vec_id", "score")

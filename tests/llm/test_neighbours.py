@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eventstrata.llm.neighbours import KdTree, Regions, Search, chi_square, nearest_neighbours, quantile
+from eventstrata.llm import neighbours
+from eventstrata.llm.neighbours import KdTree, Regions, Search, chi_square, nearest, nearest_neighbours, quantile
 
 def query():
     return F.col("vec_id") % 100 == 0
@@ -66,6 +67,37 @@ def test_ties_copies_and_unusable_vectors(spark):
         assert {r["score"] for r in got} == {0.0}
 
 
+def test_copies_whose_projections_differ_in_the_last_bits():
+    rng = np.random.default_rng(4)
+    vectors = np.repeat(rng.normal(size=(1, 64)), 40, axis=0)
+    directions = rng.normal(size=(64, 8))
+    projected = vectors @ directions
+    # As products of other sizes give them.
+    query = np.nextafter(projected[0], np.inf)
+    how = Search()
+    tree = KdTree(projected, how.bucket)
+    ids = np.arange(40)[tree.order]
+    for radius in (0.0, np.inf):
+        got = nearest(tree, ids, vectors[tree.order], projected[tree.order], (7, vectors[0], query, radius), how)
+        assert got == [(0.0, i) for i in range(11) if i != 7]
+
+
+def test_finds_of_the_first_pass_stay(spark, monkeypatch):
+    # A second pass that finds nothing must not take away what the first one found.
+    rows = [(i, [0.5, 1.0, -2.0, 4.0]) for i in range(0, 330, 3)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    meet, calls = neighbours._meet, []
+
+    def once(*args):
+        calls.append(1)
+        found = meet(*args)
+        return found if len(calls) == 1 else found.limit(0)
+
+    monkeypatch.setattr(neighbours, "_meet", once)
+    got = nearest_neighbours(table, query(), Search(k=4)).orderBy("query_id", "rank").collect()
+    assert [r["vec_id"] for r in got if r["query_id"] == 300] == [0, 3, 6, 9]
+
+
 def test_few_and_no_rows(spark):
     table = spark.createDataFrame([(100, [1.0, 2.0]), (1, [1.0, 4.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in nearest_neighbours(table, query()).collect()] == [(100, 1, 1, 2.0)]
