@@ -31,6 +31,25 @@ class SecretRule:
         return f"{self.kind}@{self.version}"
 
 
+# Java and RE2 both run the patterns, so there is no look-behind and nothing possessive; bounds
+# on repeated groups keep Java's stack small, and RE2 allows none inside them beyond 1,000.
+KIND_OF_KEY = r"(?:[A-Z0-9]{1,16} ){0,4}PRIVATE KEY(?: BLOCK)?-----"
+# Between lines of a key: white space, line ends written as escapes, quotes of string constants.
+BLANK = r"""[ \t\r\n"',>]"""
+BETWEEN = rf"(?:{BLANK}|\\[nr]){BLANK}*(?:\\[nr]{BLANK}*)?(?:\\[nr]{BLANK}*)?"
+# At least 16 characters.
+KEY_LINE = "[A-Za-z0-9+/]" * 16 + "[A-Za-z0-9+/]*=?=?"
+PRIVATE_KEY = (
+    rf"-----BEGIN {KIND_OF_KEY}(?:"
+    rf"[^-]*(?:-[^-]+){{0,50}}-----END {KIND_OF_KEY}"
+    rf"|(?:{BETWEEN}(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\r\n\\]*){{0,6}}"
+    rf"(?:{BETWEEN}{KEY_LINE}){{0,400}}"
+    rf"(?:{BETWEEN}(?:[A-Za-z0-9+/]+={{1,2}}|=?[A-Za-z0-9+/]{{1,75}}(?:\r?\n|\z)))?)"
+)
+# A first part that no other parts follow is matched as well, with an empty group, and does
+# not count: the search goes on behind it and so stays linear.
+WEB_TOKEN = r"eyJ[A-Za-z0-9_-]{8,}(\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})?"
+
 # Kinds, patterns and least lengths, in the order in which ties are listed.
 RULES = (
     SecretRule(
@@ -42,11 +61,12 @@ RULES = (
     ),
     SecretRule("access", 1, r"AKIA[A-Z0-9]+", least=20),
     SecretRule("hex", 1, r"[0-9a-f]{24,}", least=24),
-    SecretRule("private_key", 2, r"-----BEGIN (?:[A-Z0-9]{1,16} ){0,4}PRIVATE KEY-----"),
+    # The whole key: header lines, lines of base64 (line ends may be escaped, quoted or indented)
+    # and the END line. A body without an END line ends with its last line of base64.
+    SecretRule("private_key", 3, PRIVATE_KEY),
     SecretRule("git_token", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
     SecretRule("chat_token", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    # The bound on the first part keeps the search linear in texts full of its first letters.
-    SecretRule("web_token", 2, r"eyJ[A-Za-z0-9_-]{8,1000}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    SecretRule("web_token", 3, WEB_TOKEN, group=1, least=18),
 )
 BASE_KINDS = ("assign", "access", "hex")
 
