@@ -19,6 +19,7 @@ from eventstrata.llm import (
     substrings,
     token_files,
     weak_rules,
+    whitening,
 )
 from eventstrata.llm.common import table
 from eventstrata.session import scratch_path
@@ -98,6 +99,10 @@ def op10_licence_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(table(spark, sf_dir, "documents"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def _secrets_sql() -> str:
     """All rules by cutting each text at its matches and adding up the lengths before them."""
     parts = []
@@ -150,6 +155,7 @@ REGISTRY: dict[str, Query] = {
         op8_simhash_near_dedup,
         op9_secret_scans,
         op10_licence_scans,
+        op13_embedding_whitening,
     )
 }
 EXPECTED: dict[str, str] = {"op9_secret_scans": _secrets_sql()}
