@@ -17,6 +17,7 @@ from eventstrata.llm import (
     secrets,
     simhash,
     substrings,
+    superminhash,
     token_files,
     weak_rules,
     whitening,
@@ -99,6 +100,10 @@ def op10_licence_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(table(spark, sf_dir, "documents"))
 
 
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -155,6 +160,7 @@ REGISTRY: dict[str, Query] = {
         op8_simhash_near_dedup,
         op9_secret_scans,
         op10_licence_scans,
+        op12_minhash_near_dedup,
         op13_embedding_whitening,
     )
 }
