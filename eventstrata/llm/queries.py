@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventstrata.llm import (
+    alignment,
     licences,
     neighbours,
     packing,
@@ -100,6 +101,12 @@ def op10_licence_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(table(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.alignments(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_MODEL)
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
 def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -160,6 +167,7 @@ REGISTRY: dict[str, Query] = {
         op8_simhash_near_dedup,
         op9_secret_scans,
         op10_licence_scans,
+        op11_cross_tokenizer,
         op12_minhash_near_dedup,
         op13_embedding_whitening,
     )

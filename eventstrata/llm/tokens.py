@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def _byte_of_symbol() -> dict[str, int]:
+def byte_of_symbol() -> dict[str, int]:
     """Byte-level vocabularies write printable bytes as themselves, the others from U+0100 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in plain]
@@ -33,7 +33,7 @@ def load_encoder(path: str, special: bool = True) -> Callable[[str], list[int]]:
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
     added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-    symbol = _byte_of_symbol()
+    symbol = byte_of_symbol()
     vocabulary = {bytes(symbol[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in added}
     encoding = tiktoken.Encoding(
         os.path.basename(path), pat_str=PATTERN, mergeable_ranks=vocabulary, special_tokens=added
