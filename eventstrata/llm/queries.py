@@ -119,7 +119,7 @@ def _secrets_sql() -> str:
     """All rules by cutting each text at its matches and adding up the lengths before them."""
     parts = []
     for place, rule in enumerate(secrets.RULES):
-        pattern = rule.pattern.replace("'", "''")
+        pattern = rule.plain.replace("'", "''")
         parts.append(
             f"SELECT doc_id, '{rule.kind}' AS kind, {place} AS place, {rule.least} AS least, "
             f"regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {rule.group}) AS g, "

@@ -30,20 +30,27 @@ class SecretRule:
     def key(self) -> str:
         return f"{self.kind}@{self.version}"
 
+    @property
+    def plain(self) -> str:
+        """The pattern for engines that never backtrack and know no possessive repeats."""
+        return self.pattern.replace("*+", "*")
+
 
-# Java and RE2 both run the patterns, so there is no look-behind and nothing possessive; bounds
-# on repeated groups keep Java's stack small, and RE2 allows none inside them beyond 1,000.
+# Java runs the patterns and RE2 (without the possessive marks) checks them, so there is no
+# look-behind. Repeated groups are possessive: Java then loops over them, whatever their number,
+# instead of using its stack. None of them ever has to give a repetition back.
 KIND_OF_KEY = r"(?:[A-Z0-9]{1,16} ){0,4}PRIVATE KEY(?: BLOCK)?-----"
 # Between lines of a key: white space, line ends written as escapes, quotes of string constants.
 BLANK = r"""[ \t\r\n"',>]"""
 BETWEEN = rf"(?:{BLANK}|\\[nr]){BLANK}*(?:\\[nr]{BLANK}*)?(?:\\[nr]{BLANK}*)?"
 # At least 16 characters.
 KEY_LINE = "[A-Za-z0-9+/]" * 16 + "[A-Za-z0-9+/]*=?=?"
+# Up to an END line nothing but a run of five hyphens ends a key.
 PRIVATE_KEY = (
     rf"-----BEGIN {KIND_OF_KEY}(?:"
-    rf"[^-]*(?:-[^-]+){{0,50}}-----END {KIND_OF_KEY}"
-    rf"|(?:{BETWEEN}(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\r\n\\]*){{0,6}}"
-    rf"(?:{BETWEEN}{KEY_LINE}){{0,400}}"
+    rf"[^-]*+(?:-{{1,4}}[^-]+)*+-----END {KIND_OF_KEY}"
+    rf"|(?:{BETWEEN}(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\r\n\\]*)*+"
+    rf"(?:{BETWEEN}{KEY_LINE})*+"
     rf"(?:{BETWEEN}(?:[A-Za-z0-9+/]+={{1,2}}|=?[A-Za-z0-9+/]{{1,75}}(?:\r?\n|\z)))?)"
 )
 # A first part that no other parts follow is matched as well, with an empty group, and does
@@ -63,7 +70,7 @@ RULES = (
     SecretRule("hex", 1, r"[0-9a-f]{24,}", least=24),
     # The whole key: header lines, lines of base64 (line ends may be escaped, quoted or indented)
     # and the END line. A body without an END line ends with its last line of base64.
-    SecretRule("private_key", 3, PRIVATE_KEY),
+    SecretRule("private_key", 4, PRIVATE_KEY),
     SecretRule("git_token", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
     SecretRule("chat_token", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     SecretRule("web_token", 3, WEB_TOKEN, group=1, least=18),

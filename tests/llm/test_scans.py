@@ -105,9 +105,33 @@ def test_no_key_material_is_left(spark):
     assert left == "[SECRET]\nplain words after eyJabcdefghijk and more"
 
 
+@pytest.mark.parametrize("lines", [300, 400, 10_000])
+def test_keys_of_any_length(spark, lines):
+    """With and without END, also inside ten megabytes; RE2 finds the same spans."""
+    line = "aB3/" * 16
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    hyphens = "a-b--c---d----e " * 40
+    padding = "some plain words " * 600_000 if lines == 400 else "some plain words"
+    texts = [
+        f"{padding}\n" + "\n".join([begin, *[line] * lines, end]) + "\nplain words after",
+        f"{padding}\n" + "\n".join([begin, *[line] * lines]) + "\nplain words after",
+        "\n".join([begin, *[line] * lines]),
+        "\\n".join([begin, *[line] * lines, end]) + " plain words after",
+        "\n".join([begin, "X-Note: " + hyphens, *[line] * lines, end]) + " plain words after",
+        "\n".join([begin, *["Comment: one more"] * lines, *[line] * lines]) + "\nplain words after",
+    ]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rule = next(r for r in secrets.RULES if r.kind == "private_key")
+    for r in secrets.redact(table, scratch_path(spark, "ledger")).collect():
+        assert "aB3/" not in r["text"] and "[SECRET]" in r["text"]
+        assert r["doc_id"] == 2 or r["text"].endswith("plain words after")
+        masked = duckdb.execute("SELECT regexp_replace($1, $2, '[SECRET]', 'g')", [texts[r["doc_id"]], rule.plain])
+        assert masked.fetchone()[0] == r["text"]
+
+
 def test_patterns_are_valid_in_sql():
     for rule in secrets.RULES:
-        assert duckdb.execute("SELECT regexp_extract_all('', $1, $2)", [rule.pattern, rule.group]).fetchone() == ([],)
+        assert duckdb.execute("SELECT regexp_extract_all('', $1, $2)", [rule.plain, rule.group]).fetchone() == ([],)
 
 
 def test_native_plans(spark, documents):
