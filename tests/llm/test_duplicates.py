@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from brute import AWKWARD, SHARED, components, repeated_exactly, simhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -240,3 +241,57 @@ def test_passages_awkward_rows(awkward, nothing):
     assert [r["text"] for r in left.where("doc_id = 6").collect()] == ["before it after it"] * 2
     assert left.count() == len(AWKWARD)
     assert substrings.repeated_passages(nothing).count() == 0 and substrings.drop_passages(nothing).count() == 0
+
+
+def family(rng, size, length=400, changed=4):
+    base = [f"f{i}" for i in range(length)]
+    texts = []
+    for n in range(size):
+        copy = list(base)
+        for at in rng.sample(range(length), changed):
+            copy[at] = f"c{n}_{at}"
+        texts.append(" ".join(copy))
+    return texts
+
+
+@pytest.mark.parametrize("size", [50, 200])
+def test_family_of_near_copies(spark, size):
+    """Few rows per member, and no word of an exact repeat of 50 words is left out."""
+    rng = random.Random(size)
+    texts = family(rng, size)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = substrings.repeated_passages(table).collect()
+    assert len(found) < 3.5 * size
+    spans = {}
+    for r in found:
+        spans.setdefault(r["doc_id"], []).append((r["passage_start"], r["passage_end"]))
+    seen = set()
+    for name, text in enumerate(texts):
+        words = text.split()
+        runs = [tuple(words[i : i + 50]) for i in range(len(words) - 49)]
+        for i, run in enumerate(runs):
+            if run in seen:
+                assert any(lo <= i and i + 50 <= hi for lo, hi in spans[name])
+        seen.update(runs)
+
+
+def test_least_cover_and_safe_spans():
+    rng = random.Random(2)
+    for _ in range(200):
+        spans = [(a, a + rng.randint(1, 30)) for a in (rng.randint(0, 100) for _ in range(rng.randint(1, 25)))]
+        wanted = substrings.merged([s for s in spans if rng.random() < 0.6] or spans[:1])
+        chosen = chaining.least_cover(np.array(spans), wanted)
+        covered = {i for at in chosen for i in range(*spans[at])}
+        assert all(set(range(lo, hi)) <= covered for lo, hi in wanted)
+        assert len(set(chosen)) == len(chosen)
+    owner, p = np.array([1, 1, 1, 1, 2]), np.array([0, 55, 100, 400, 0])
+    spans = chaining.safe_spans(owner, p, p - 7, np.full(5, 50), 80, 0.8)
+    assert spans.tolist() == [[1, 7, 0, 150], [1, 7, 400, 450], [2, 7, 0, 50]]
+
+
+def test_rows_of_one_id_with_several_texts(spark):
+    shared = " ".join(f"word{i}" for i in range(70))
+    other = " ".join(f"else{i}" for i in range(90))
+    rows = [(1, shared, "a"), (2, f"a frame {shared} behind it", "b"), (2, other, "c"), (2, None, "d"), (3, other, "e")]
+    kept = substrings.drop_passages(spark.createDataFrame(rows, "doc_id long, text string, sig string")).collect()
+    assert sorted((r["sig"], r["text"]) for r in kept) == [("a", shared), ("b", "a frame behind it"), ("c", other), ("d", None)]
