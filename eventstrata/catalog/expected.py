@@ -324,6 +324,8 @@ numbered AS (
            row_number() OVER (PARTITION BY shard ORDER BY line, slot) AS _source_row
     FROM ({nonblank})
 )"""
+    landed = STREAM + LINES + numbered + _bronze("numbered")
+    landed_silver = landed + VALIDATED + EXACT + SILVER
     sql = {
         "bronze_scan": _q(
             STREAM + LINES,
@@ -339,7 +341,7 @@ numbered AS (
         ),
         "bronze_source_file": _q(
             STREAM + LINES,
-            f"SELECT shard, 1::BIGINT AS files, 0::BIGINT AS with_directory, "
+            f"SELECT shard, 1::BIGINT AS files, 0::BIGINT AS not_below_input, "
             f"count(*) AS payloads FROM ({nonblank}) GROUP BY shard",
         ),
         "bronze_source_row": _q(
@@ -542,13 +544,31 @@ numbered AS (
             _TO_SILVER, f"SELECT {_SILVER_COLUMNS}, {_LINEAGE} FROM silver"
         ),
         "published_bronze": _q(
-            STREAM + BRONZE, "SELECT * EXCLUDE (_source_file, _source_row) FROM bronze"
+            landed, f"SELECT *, row_number() OVER (ORDER BY {_LINEAGE}) - 1 AS position FROM bronze"
+        ),
+        "published_silver": _q(
+            landed_silver,
+            f"SELECT {_SILVER_COLUMNS}, {_LINEAGE}, "
+            "row_number() OVER (ORDER BY order_id, event_time, event_id) - 1 AS position FROM silver",
         ),
-        "published_silver": _q(_TO_SILVER, f"SELECT {_SILVER_COLUMNS} FROM silver"),
         "published_quarantine": _q(
-            _TO_VALIDATED,
-            "SELECT * EXCLUDE (_is_valid_json, event_time, ingested_at, _source_file, "
-            "_source_row) FROM validated WHERE reject_reason IS NOT NULL",
+            landed + VALIDATED,
+            "SELECT * EXCLUDE (_is_valid_json, event_time, ingested_at), "
+            f"row_number() OVER (ORDER BY {_LINEAGE}) - 1 AS position "
+            "FROM validated WHERE reject_reason IS NOT NULL",
+        ),
+        "physical_order": _q(
+            _TO_ORDERS,
+            " UNION ALL ".join(
+                f"SELECT '{layer}' AS layer, count(*) AS rows, 0::BIGINT AS unordered_rows, "
+                f"0::BIGINT AS unordered_parts FROM {source}"
+                for layer, source in (
+                    ("bronze", "bronze"),
+                    ("quarantine", "validated WHERE reject_reason IS NOT NULL"),
+                    ("silver", "silver"),
+                    ("orders", "orders_now"),
+                )
+            ),
         ),
         "published_orders": _q(_TO_ORDERS, "SELECT * FROM orders_now"),
         "published_daily": _q(_TO_DAILY, "SELECT * FROM daily"),

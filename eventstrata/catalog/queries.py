@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from eventstrata.catalog import delivery_stream
 from eventstrata.config import DEFAULT, EventType
 from eventstrata.functions.rates import safe_rate
 from eventstrata.functions.text import strip_carriage_returns
-from eventstrata.operators import compare, incremental, monitors, quality
+from eventstrata.operators import compare, incremental, layout, monitors, quality
 from eventstrata.operators import lifecycle as life
 from eventstrata.operators.cohort import DAILY_COUNTS, daily_counts, daily_metrics
 from eventstrata.operators.dedup import (
@@ -40,6 +40,7 @@ from eventstrata.session import configure, scratch_path, stage
 from eventstrata.sinks import tables
 from eventstrata.sources.lines import (
     BRONZE_KEYS,
+    land_files,
     land_rows,
     number_lines,
     payload_lines,
@@ -138,6 +139,11 @@ def query(build: Callable[[Layers], DataFrame]) -> Callable[[Layers], DataFrame]
 # Landing
 
 
+def _by_folder(rows: DataFrame) -> DataFrame:
+    """Lineage without the file names that the writer of the landing files drew: one file per shard."""
+    return rows.withColumn("_source_file", F.regexp_extract("_source_file", r"^(.*)/[^/]+$", 1))
+
+
 @query
 def bronze_scan(x: Layers) -> DataFrame:
     return x.lines.select(
@@ -162,7 +168,7 @@ def bronze_nonblank_filter(x: Layers) -> DataFrame:
 def bronze_source_file(x: Layers) -> DataFrame:
     return payload_lines(x.lines).groupBy("shard").agg(
         F.count_distinct("_source_file").alias("files"),
-        F.count_if(F.col("_source_file").contains("/")).alias("with_directory"),
+        F.count_if(~F.col("_source_file").rlike("^shard=[0-9]+/[^/]+$")).alias("not_below_input"),
         F.count("*").alias("payloads"),
     )
 
@@ -174,8 +180,7 @@ def bronze_source_row(x: Layers) -> DataFrame:
 
 @query
 def bronze_events(x: Layers) -> DataFrame:
-    shard = F.concat(F.lit("shard="), F.col("shard"))
-    return land_rows(number_lines(payload_lines(x.lines)).withColumn("_source_file", shard))
+    return _by_folder(land_files(x.spark, x.files))
 
 
 @query
@@ -551,17 +556,28 @@ def _published(x: Layers, layer: str) -> DataFrame:
 
 @query
 def published_bronze(x: Layers) -> DataFrame:
-    return _published(x, "bronze").drop("_source_row", "_source_file")
+    """With lineage, and the place at which each row lies in the files."""
+    return _by_folder(layout.with_position(_published(x, "bronze")))
 
 
 @query
 def published_silver(x: Layers) -> DataFrame:
-    return _published(x, "silver").drop("_source_row", "_source_file")
+    return _by_folder(layout.with_position(_published(x, "silver")))
 
 
 @query
 def published_quarantine(x: Layers) -> DataFrame:
-    return _published(x, "quarantine").drop("_source_row", "_source_file")
+    return _by_folder(layout.with_position(_published(x, "quarantine")))
+
+
+@query
+def physical_order(x: Layers) -> DataFrame:
+    keys = {"bronze": BRONZE_KEYS, "quarantine": BRONZE_KEYS, "silver": SILVER_KEYS, "orders": life.ORDER_KEYS}
+    checks = [
+        layout.physical_order(_published(x, name), key).withColumn("layer", F.lit(name))
+        for name, key in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, checks)
 
 
 @query

@@ -73,11 +73,15 @@ class StreamConfig:
     lateness_threshold_seconds: int = LATENESS_THRESHOLD_SECONDS
     compression: str = "zstd"
     layout: dict[str, str] = field(default_factory=lambda: dict(LAYOUT))
-    # "total" range-sorts Bronze by file and line, as published; "scan" writes it without a
-    # shuffle, in order inside a file only.
+    # "total" sorts Bronze by file and line, as published; "scan" writes it without a shuffle,
+    # in order inside a file only.
     bronze_order: str = "total"
+    # Payload bytes per partition of sorted Bronze; small inputs are dealt to all cores down to
+    # the second figure.
+    partition_bytes: int = 256 << 20
+    min_partition_bytes: int = 1 << 20
     # Above this many input blocks (500 TB in blocks of 128 MB) the line offsets are joined by
-    # shuffle, not broadcast. A block is four longs, some 64 bytes in the broadcast table.
+    # shuffle, not broadcast. A block is six longs, some 80 bytes in the broadcast table.
     max_broadcast_blocks: int = 4_000_000
     # Above this many touched orders their events are found by a salted join, not a broadcast.
     max_broadcast_ids: int = 1_000_000

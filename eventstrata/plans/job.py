@@ -60,10 +60,7 @@ def _run(
     codec = config.compression
 
     bronze = land_files(spark, input_path, config)
-    if config.bronze_order == "total":
-        write_ordered(bronze, paths["bronze"], BRONZE_KEYS, codec)
-    else:
-        write_scan_order(bronze, paths["bronze"], codec)
+    write_scan_order(bronze, paths["bronze"], codec)
     bronze = reread(bronze, paths["bronze"])
 
     rows = stage(slim(validate(bronze, config)), scratch_path(spark, "validated"))
@@ -85,7 +82,8 @@ def _run(
 
     silver = silver.select(*silver_columns(config))
     write_ordered(silver, paths["silver"], SILVER_KEYS, codec)
-    orders = reconstruct(reread(silver, paths["silver"]), config)
+    # Staged, so that choosing the key ranges does not aggregate Silver once more.
+    orders = stage(reconstruct(reread(silver, paths["silver"]), config), scratch_path(spark, "orders"))
     write_ordered(orders, paths["orders"], ORDER_KEYS, codec)
     orders = reread(orders, paths["orders"])
     _, finished = in_parallel(

@@ -17,7 +17,7 @@ from eventstrata.operators.dedup import dedup_input, drop_exact, drop_semantic
 from eventstrata.operators.validate import valid, validate
 from eventstrata.session import reread, scratch_path, stage, workspace
 from eventstrata.sinks.tables import write_scan_order
-from eventstrata.sources.lines import land_rows, payload_lines
+from eventstrata.sources.lines import land_rows, payload_lines, relative_file
 
 def stream_bronze(
     spark: SparkSession,
@@ -29,7 +29,7 @@ def stream_bronze(
     reader = spark.readStream.option("lineSep", "\n")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    lines = reader.text(path).select("value", F.col("_metadata.file_name").alias("_source_file"))
+    lines = reader.text(path).select("value", relative_file(spark, path).alias("_source_file"))
     numbered = payload_lines(lines).withColumn("_source_row", F.lit(None).cast("long"))
     return land_rows(numbered, config)
 

@@ -182,7 +182,7 @@ def test_ordinals_over_many_blocks_per_file(spark, tmp_path, max_broadcast_block
     spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
     spark.conf.set("spark.sql.files.openCostInBytes", "100")
     try:
-        config = StreamConfig(max_broadcast_blocks=max_broadcast_blocks)
+        config = StreamConfig(max_broadcast_blocks=max_broadcast_blocks, min_partition_bytes=1000)
         landed = land_files(spark, str(tmp_path), config)
         got = {(r["_source_file"], r["_source_row"]): r["event_id"] for r in landed.collect()}
         assert landed.rdd.getNumPartitions() > 1
