@@ -27,6 +27,7 @@ from eventstrata.operators.dedup import (
     silver_with_counts,
     to_silver,
 )
+from eventstrata.operators.order_store import OrderStore
 from eventstrata.operators.validate import (
     match_vocabulary,
     normalize,
@@ -631,9 +632,13 @@ def restate_affected_dates(x: Layers) -> DataFrame:
 
 @query
 def gold_orders_incremental(x: Layers) -> DataFrame:
+    """History and a batch through the bucketed store, which rebuilds only the batch's orders."""
     new = F.col("ingested_at") >= F.lit(HISTORY_END)
-    before = life.reconstruct(x.silver.where(~new))
-    return incremental.refresh_orders(before, x.silver, x.silver.where(new))
+    silver = x.silver.select(*SILVER_COLUMNS)
+    store = OrderStore(x.spark, scratch_path(x.spark, "order-store"))
+    store.load(silver.where(~new))
+    store.refresh(silver.where(new), 1)
+    return store.orders()
 
 
 @query

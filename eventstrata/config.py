@@ -85,6 +85,9 @@ class StreamConfig:
     max_broadcast_blocks: int = 4_000_000
     # Above this many touched orders their events are found by a salted join, not a broadcast.
     max_broadcast_ids: int = 1_000_000
+    # Hash buckets of the order store: a refresh reads and rewrites whole buckets. At 100 TB some
+    # ten thousand keep a bucket in a few files.
+    order_buckets: int = 64
     # Types that the lifecycle and cohort metrics refer to by role.
     creation: str = "ORDER_CREATED"
     allocation: str = "RIDER_ALLOCATED"
