@@ -9,6 +9,7 @@ from eventstrata.catalog.queries import (
     INDEX_SINCE,
     ORDER_FIELDS,
     OVERLAP_START,
+    PERCENTILES,
 )
 from eventstrata.config import (
     EVENT_TYPES,
@@ -665,12 +666,23 @@ numbered AS (
             "SELECT count(*) AS valid_events, true AS estimate_is_near, "
             "(count(*) - count(DISTINCT event_id)) / count(*) < 0.15 AS rate_is_plausible FROM good",
         ),
+        "distinct_ids_daily": _q(
+            _TO_VALIDATED,
+            "SELECT event_time::DATE AS event_date, count(*) AS rows, count(DISTINCT event_id) AS ids, "
+            "0::BIGINT AS times_bound FROM good GROUP BY GROUPING SETS ((event_time::DATE), ())",
+        ),
+        "lateness_sketch_ranks": _q(
+            _TO_VALIDATED,
+            "SELECT event_type, count(*) AS rows, share::DOUBLE AS share, 0::BIGINT AS times_bound "
+            f"FROM good, (VALUES {', '.join(f'({p})' for p in PERCENTILES)}) AS s(share) GROUP BY event_type, share",
+        ),
         "stream_validate": _q(
             _TO_VALIDATED,
             "SELECT event_id, order_id, event_type, event_time, ingested_at, reject_reason "
             "FROM validated",
         ),
         "stream_dedup": _q(_TO_SILVER, f"SELECT {_KEY} FROM silver"),
+        "stream_dedup_state": _q(_TO_SILVER, f"SELECT {_KEY} FROM silver"),
         "late_side_output": _q(
             _TO_VALIDATED + _silver("timed", "good"),
             "SELECT event_id, order_id, lateness_seconds, CASE WHEN "

@@ -14,7 +14,7 @@ from eventstrata.catalog import delivery_stream
 from eventstrata.config import DEFAULT, EventType
 from eventstrata.functions.rates import safe_rate
 from eventstrata.functions.text import strip_carriage_returns
-from eventstrata.operators import compare, incremental, layout, monitors, quality
+from eventstrata.operators import compare, incremental, layout, monitors, quality, sketches
 from eventstrata.operators import lifecycle as life
 from eventstrata.operators.cohort import DAILY_COUNTS, daily_counts, daily_metrics
 from eventstrata.operators.dedup import (
@@ -49,6 +49,7 @@ from eventstrata.sources.lines import (
 )
 from eventstrata.sources.vocabulary import vocabulary
 from eventstrata.streaming import events as streams
+from eventstrata.streaming import state
 
 # Query parameters shared with the expected SQL.
 HISTORY_END = dt.datetime(2024, 1, 25)
@@ -703,6 +704,34 @@ def approx_duplicate_rate(x: Layers) -> DataFrame:
     )
 
 
+def _stored_sketches(x: Layers) -> DataFrame:
+    path = scratch_path(x.spark, "sketches")
+    built = sketches.daily_sketches(x.typed)
+    tables.write_by_date(built, path, "event_date", ["event_type"])
+    return x.spark.read.schema(built.schema).parquet(path)
+
+
+@query
+def distinct_ids_daily(x: Layers) -> DataFrame:
+    """Per date and over all dates (NULL): exact ids, and how often the estimate's error exceeds its bound."""
+    x.rows
+    stored, typed = _stored_sketches(x), x.typed
+    per_date = sketches.distinct_error(stored, typed, "event_date")
+    overall = sketches.distinct_error(stored, typed).withColumn("event_date", F.lit(None).cast("date"))
+    over = sketches.times_bound(F.col("relative_error"), sketches.DEFAULT_SIZE.distinct_error)
+    return per_date.unionByName(overall).select("event_date", "rows", "ids", over.alias("times_bound"))
+
+
+@query
+def lateness_sketch_ranks(x: Layers) -> DataFrame:
+    """Per type and share: rows, and how often the merged sketch's rank error exceeds its bound."""
+    x.rows
+    found = sketches.lateness_quantiles(_stored_sketches(x), PERCENTILES, "event_type")
+    ranked = sketches.rank_errors(found, x.typed, "event_type")
+    over = sketches.times_bound(F.col("rank_error"), sketches.DEFAULT_SIZE.rank_error)
+    return ranked.select("event_type", "rows", "share", over.alias("times_bound"))
+
+
 # Streams
 
 
@@ -730,6 +759,19 @@ def stream_dedup(x: Layers) -> DataFrame:
     return x.spark.read.parquet(silver).select(*C.SEMANTIC_KEY)
 
 
+@query
+def stream_dedup_state(x: Layers) -> DataFrame:
+    """The same keys from watermark state instead of a stored index."""
+    combined, out = scratch_path(x.spark, "combined"), scratch_path(x.spark, "unique")
+    rows = streams.stream_valid(x.spark, x.files, files_per_trigger=8)
+    handler = state.combine_batches(combined)
+    _finish(streams.each_batch(rows, handler, scratch_path(x.spark, "progress")))
+    schema = drop_exact(x.typed).schema
+    unique = state.unique_in_state(x.spark, combined, schema, HORIZON_DAYS)
+    _finish(streams.append_to(unique, out, scratch_path(x.spark, "progress")))
+    return x.spark.read.schema(schema).parquet(out).select(*C.SEMANTIC_KEY)
+
+
 @query
 def late_side_output(x: Layers) -> DataFrame:
     on_time, late = scratch_path(x.spark, "on-time"), scratch_path(x.spark, "late")

@@ -8,6 +8,7 @@ from eventstrata.config import SEMANTIC_KEY
 from eventstrata.operators.compare import membership_differences
 from eventstrata.session import scratch_path
 from eventstrata.streaming import events as streams
+from eventstrata.streaming import state
 from eventstrata.operators.dedup import dedup_input, silver_with_counts
 from eventstrata.operators.validate import valid, validate
 from eventstrata.sources.lines import land_files
@@ -100,3 +101,41 @@ def test_stored_batches_are_pruned_by_date_and_staged_rows_removed(spark, tmp_pa
     stored = streams._earlier_batches(like, seen, 1).where("event_date >= DATE '2024-01-28'")
     plan = stored._jdf.queryExecution().executedPlan().toString()
     assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_state_dedup_matches_batch_keys_with_a_hot_id_combined(spark, tmp_path):
+    source = write_stream(spark, tmp_path / "in", 4)
+    more = Path(source, "part-0.jsonl").read_text().split("\n")[0]
+    Path(source, "storm.jsonl").write_text("\n".join([more] * 500))
+    combined, out = scratch_path(spark, "combined"), scratch_path(spark, "unique")
+    rows = streams.stream_valid(spark, source, files_per_trigger=2)
+    streams.each_batch(rows, state.combine_batches(combined), scratch_path(spark, "progress")).awaitTermination()
+    stored = spark.read.parquet(combined)
+    assert stored.groupBy("batch_id", "event_id").count().where("count > 1").count() == 0
+    unique = state.unique_in_state(spark, combined, stored.drop("batch_id").schema, 60, files_per_trigger=3)
+    streams.append_to(unique, out, scratch_path(spark, "progress")).awaitTermination()
+    batch = silver_with_counts(batch_typed(spark, source))
+    assert spark.read.parquet(out).count() == batch.count()
+    assert membership_differences(spark.read.parquet(out), batch, SEMANTIC_KEY).count() == 0
+
+
+def test_state_falls_behind_the_horizon(spark, tmp_path):
+    combined, out = str(tmp_path / "combined"), scratch_path(spark, "unique")
+    handler = state.combine_batches(combined)
+    for day in range(1, 13):
+        at = f"2026-09-{day:02}T10:00:00Z"
+        lines = [event(f"e{day}-{i}", event_time=at, ingested_at=at, order_id=f"o{day}-{i}") for i in range(20)]
+        # Yesterday's events are sent again under their ids and under fresh ones.
+        before = f"2026-09-{day - 1:02}T10:00:00Z"
+        lines += [event(f"e{day - 1}-{i}", event_time=before, ingested_at=at, order_id=f"o{day - 1}-{i}") for i in range(5) if day > 1]
+        lines += [event(f"x{day}-{i}", event_time=before, ingested_at=at, order_id=f"o{day - 1}-{i}") for i in range(5) if day > 1]
+        handler(dedup_input(valid(validate(bronze(spark, *lines)))).coalesce(1), day - 1)
+    schema = spark.read.parquet(combined).drop("batch_id").schema
+    unique = state.unique_in_state(spark, combined, schema, 3, files_per_trigger=1)
+    stream = streams.append_to(unique, out, scratch_path(spark, "progress"))
+    stream.awaitTermination()
+    rows = [[op["numRowsTotal"] for op in p["stateOperators"]] for p in stream.recentProgress if p["stateOperators"]]
+    ids = 20 * 12 + 5 * 11
+    assert 0 < max(r[0] for r in rows[-4:]) < ids / 2
+    kept = spark.read.parquet(out)
+    assert kept.count() == kept.select("order_id").distinct().count() == 20 * 12
