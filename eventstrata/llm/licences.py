@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventstrata.llm.common import least_hashed
+
 UNKNOWN = "unknown"
 # Paragraphs of the corpus that stand for "no licence" when fitting, at most.
 MAX_NEGATIVES = 3_000
@@ -154,14 +156,18 @@ def _template_rows(spark: SparkSession) -> DataFrame:
 def train(documents: DataFrame, max_negatives: int = MAX_NEGATIVES) -> tuple[LicenceModel, DataFrame]:
     """Learn from the templates, their halves and a bounded sample of the corpus' paragraphs.
 
-    The sample is the paragraphs of least hash; those that agree with a template stand out
+    The sample is the distinct paragraphs of least hash; those that agree with a template stand out
     as licences already and are left out of it.
     """
     templates = _template_rows(documents.sparkSession)
     known = [(r["family"], r["grams"]) for r in templates.collect()]
     vocabulary = sorted({g for _, grams in known for g in grams})
-    sample = paragraphs(documents).select("line", F.xxhash64("line").alias("by")).orderBy("by", "line").limit(max_negatives)
-    negatives = [r["grams"] for r in sample.select(ngrams(F.col("line")).alias("grams")).collect()]
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    expected = documents.agg(F.sum(breaks + 1)).first()[0] or 0
+    lines = paragraphs(documents).select("line", F.xxhash64("line").alias("by"))
+    grams = ngrams(F.col("line")).alias("grams")
+    sample = least_hashed(lines.distinct(), "by", ["line"], max_negatives, expected, grams)
+    negatives = [r["grams"] for r in sample]
 
     def agrees(grams: list[int]) -> bool:
         return any(len(set(grams) & set(t)) >= MIN_AGREEMENT * len(set(grams)) for _, t in known)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from eventstrata.llm.common import group_starts, numbers, whole_groups
+from eventstrata.llm.common import group_starts, least_hashed, numbers, whole_groups
 from eventstrata.session import scratch_path, stage
 
 
@@ -21,7 +21,7 @@ from eventstrata.session import scratch_path, stage
 class Search:
     k: int = 10
     projections: int = 8  # even, for the closed form of the chi-square distribution
-    confidence: float = 0.97
+    confidence: float = 0.995
     bucket: int = 256  # vectors per kd-tree leaf
     block: int = 20_000  # vectors that one task indexes at once
     queries: int = 2_000  # queries that meet one block in one task
@@ -270,8 +270,9 @@ def nearest_neighbours(
     rows = rows.where(F.size("vector") == width)
     directions = np.random.default_rng(how.seed).standard_normal((width, how.projections))
 
-    sampled = rows.select(F.xxhash64("vec_id").alias("by"), "vec_id", "vector").orderBy("by", "vec_id").limit(how.sample)
-    points = np.array(sampled.select("vector").toPandas()["vector"].tolist(), dtype=float) @ directions
+    hashed = rows.select(F.xxhash64("vec_id").alias("by"), "vec_id", "vector")
+    sampled = least_hashed(hashed, "by", ["vec_id"], how.sample, total, "vector")
+    points = np.array([r["vector"] for r in sampled], dtype=float).reshape(-1, width) @ directions
     regions = Regions(points, min(how.max_regions, -(-total // how.block)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

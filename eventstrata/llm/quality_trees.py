@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventstrata.llm.common import held_out, text_bytes
+from eventstrata.llm.common import held_out, least_hashed, text_bytes
 from eventstrata.llm.textstats import SYMBOLS, byte_counts, repeated_lines, repeated_words, word_hashes
 from eventstrata.session import scratch_path, stage
 
@@ -212,10 +212,11 @@ def train(described: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_
     """
     usable = labels.where(F.col("quality").isNotNull() & ~held_out())
     target = usable.groupBy("doc_id").agg(F.min("quality").alias("_label"))
+    # The bound on the hash of the id reaches both sides below their join.
     joined = described.join(target, "doc_id").select("stats", "_label", F.xxhash64("doc_id").alias("_by"))
-    sample = joined.orderBy("_by", "stats").limit(max_rows).select("stats", "_label").toPandas()
-    x = np.array(sample["stats"].tolist(), dtype=np.float32).reshape(-1, len(STATISTICS))
-    return fit(x, sample["_label"].to_numpy() > 0)
+    sample = least_hashed(joined, "_by", ["stats"], max_rows, usable.count(), "stats", "_label")
+    x = np.array([r["stats"] for r in sample], dtype=np.float32).reshape(-1, len(STATISTICS))
+    return fit(x, np.array([r["_label"] for r in sample], dtype=int) > 0)
 
 
 def score_documents(

@@ -4,9 +4,11 @@ import numpy as np
 import pytest
 from brute import AWKWARD, base_counts
 from brute import SF
+from pyspark.sql import functions as F
 from zlib import crc32
 
 from eventstrata.llm import quality_trees, weak_rules
+from eventstrata.llm.common import least_hashed
 
 
 def test_rules_counts_and_verdict(spark, documents, texts):
@@ -79,3 +81,10 @@ def test_flat_forest_equals_node_walk():
             total += forest.value[at]
         walked.append(1 / (1 + np.exp(-total)))
     assert forest.score(x) == pytest.approx(walked)
+
+
+@pytest.mark.parametrize("expected", [0, 5_000, 10**9])
+def test_samples_are_the_least_hashes_whatever_is_expected(spark, expected):
+    rows = spark.range(5_000).select("id", F.xxhash64("id").alias("by")).cache()
+    found = least_hashed(rows, "by", ["id"], 200, expected, "id")
+    assert [r["id"] for r in found] == [r["id"] for r in rows.orderBy("by", "id").limit(200).collect()]
