@@ -572,6 +572,9 @@ numbered AS (
             ),
         ),
         "published_orders": _q(_TO_ORDERS, "SELECT * FROM orders_now"),
+        "published_generation": _q(
+            _TO_ORDERS, "SELECT *, 2::INTEGER AS generation, true AS moved FROM orders_now"
+        ),
         "published_daily": _q(_TO_DAILY, "SELECT * FROM daily"),
         "run_report": _q(
             _TO_DAILY + _COUNTED + _ORDER_COUNTED,

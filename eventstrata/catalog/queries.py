@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,7 @@ from eventstrata.operators.validate import (
 from eventstrata.plans.job import REPORT_SCHEMA, run
 from eventstrata.session import configure, scratch_path, stage
 from eventstrata.sinks import tables
+from eventstrata.sinks.generations import Generations
 from eventstrata.sources.lines import (
     BRONZE_KEYS,
     land_files,
@@ -592,6 +594,18 @@ def published_daily(x: Layers) -> DataFrame:
     return _published(x, "daily")
 
 
+@query
+def published_generation(x: Layers) -> DataFrame:
+    """Orders as readers of the newest generation see them, after two runs over one output."""
+    output, config = scratch_path(x.spark, "generations"), replace(DEFAULT, publish="generations")
+    run(x.spark, x.files, output, config)
+    first = Generations(x.spark, output).layers()
+    run(x.spark, x.files, output, config)
+    store = Generations(x.spark, output)
+    moved = all(first[name] != path for name, path in store.layers().items())
+    return store.read("orders").withColumn("generation", F.lit(store.numbers()[-1])).withColumn("moved", F.lit(moved))
+
+
 @query
 def run_report(x: Layers) -> DataFrame:
     report = x.spark.read.schema(REPORT_SCHEMA).json(f"{x.published}/{C.LAYOUT['report']}")

@@ -76,6 +76,9 @@ class StreamConfig:
     # "total" sorts Bronze by file and line, as published; "scan" writes it without a shuffle,
     # in order inside a file only.
     bronze_order: str = "total"
+    # "replace" overwrites the layers at their paths, one after the other; "generations" writes
+    # them to new folders that one manifest makes visible together.
+    publish: str = "replace"
     # Payload bytes per partition of sorted Bronze; small inputs are dealt to all cores down to
     # the second figure.
     partition_bytes: int = 256 << 20
@@ -103,6 +106,8 @@ class StreamConfig:
             raise ValueError(f"at most {MAX_EVENT_TYPES} event types, got {len(names)}")
         if self.bronze_order not in ("scan", "total"):
             raise ValueError(f"bronze_order must be 'scan' or 'total', got {self.bronze_order!r}")
+        if self.publish not in ("replace", "generations"):
+            raise ValueError(f"publish must be 'replace' or 'generations', got {self.publish!r}")
         missing = [f for f in PAYLOAD_FIELDS if f not in self.fields]
         if missing or len(set(self.fields)) != len(self.fields):
             raise ValueError(f"fields must be unique and include {PAYLOAD_FIELDS}, got {self.fields}")

@@ -14,6 +14,7 @@ from eventstrata.operators.dedup import SILVER_KEYS, dedup_input, silver_columns
 from eventstrata.operators.lifecycle import ORDER_KEYS, reconstruct
 from eventstrata.operators.validate import rejected, slim, valid, validate
 from eventstrata.session import configure, in_parallel, reread, scratch_path, stage, workspace
+from eventstrata.sinks.generations import Generations
 from eventstrata.sinks.tables import (
     write_ordered,
     write_report,
@@ -47,10 +48,20 @@ def run(
     the rows of the written Bronze against those of the written quarantine and Silver, so
     that a row lost or multiplied anywhere after landing stops the run. Staged tables are
     removed at the end, also of a run that fails.
+
+    With ``config.publish="generations"`` the layers are written to folders of their own and
+    become visible together at the end (``Generations``); a run that fails, wherever, leaves
+    all readers on the layers of the run before.
     """
     configure(spark)
     with workspace(spark, "run"):
-        return _run(spark, input_path, output_dir, config)
+        if config.publish == "replace":
+            return _run(spark, input_path, output_dir, config)
+        published = Generations(spark, output_dir)
+        folder = published.begin()
+        report = _run(spark, input_path, folder, config)
+        published.publish(folder, config.layout)
+        return report
 
 
 def _run(
