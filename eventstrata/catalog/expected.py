@@ -693,6 +693,7 @@ numbered AS (
             "FROM timed",
         ),
     }
+    sql["orders_printed_diff"] = sql["orders_field_diff"]
     for code in REJECT_REASONS:
         sql[f"reject_{code.lower()}"] = _q(
             _TO_VALIDATED,

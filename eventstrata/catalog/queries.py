@@ -29,6 +29,7 @@ from eventstrata.operators.dedup import (
     to_silver,
 )
 from eventstrata.operators.order_store import OrderStore
+from eventstrata.operators.prints import PrintedTable, printed_differences
 from eventstrata.operators.validate import (
     match_vocabulary,
     normalize,
@@ -451,20 +452,13 @@ def layer_counts(x: Layers) -> DataFrame:
 
 @query
 def reconciliation(x: Layers) -> DataFrame:
-    counts = quality.long_form(quality.landing_counts(x.rows)).unionByName(
-        quality.long_form(quality.silver_counts(x.silver))
-    )
-
-    def total(*metrics: str):
-        return F.sum(F.when(F.col("metric").isin(*metrics), F.col("value"))).cast("long")
-
-    raw = total("raw_events")
-    parts = total("silver_events", "rejected_events", "duplicate_events_removed")
-    return counts.agg(
-        raw.alias("raw_events"),
-        parts.alias("accounted_events"),
-        (raw == parts).alias("balanced"),
-    )
+    """The lines that arrived against the tables that a run published."""
+    lines = payload_lines(x.lines).agg(F.count("*")).scalar()
+    stored = {name: _published(x, name).agg(F.count("*")).scalar() for name in ("bronze", "quarantine", "silver")}
+    accounted = stored["silver"] + stored["quarantine"] + F.col("duplicate_events_removed")
+    counted = _report(x).select(lines.alias("raw_events"), stored["bronze"].alias("_bronze"), accounted.alias("accounted_events"))
+    balanced = (F.col("raw_events") == F.col("accounted_events")) & (F.col("raw_events") == F.col("_bronze"))
+    return counted.select("raw_events", "accounted_events", balanced.alias("balanced"))
 
 
 @query
@@ -494,15 +488,27 @@ def daily_vs_orders_diff(x: Layers) -> DataFrame:
     )
 
 
+def _true_and_naive_orders(x: Layers) -> tuple[DataFrame, DataFrame]:
+    """Orders, and orders from events that went through the exact stage only; both from one run of it."""
+    exact = stage(drop_exact(x.typed), scratch_path(x.spark, "exact"))
+    alone = exact.withColumns({"_valid_rows": F.col("_copies"), "_exact_survivors": F.lit(1)})
+    silver = stage(to_silver(drop_semantic(exact)), scratch_path(x.spark, "silver"))
+    naive = stage(to_silver(alone), scratch_path(x.spark, "exact-only"))
+    return life.reconstruct(silver), life.reconstruct(naive)
+
+
 @query
 def orders_field_diff(x: Layers) -> DataFrame:
-    exact_only = drop_exact(x.typed).withColumns(
-        {"_valid_rows": F.col("_copies"), "_exact_survivors": F.lit(1)}
-    )
-    naive = stage(to_silver(exact_only), scratch_path(x.spark, "exact-only"))
-    return compare.field_differences(
-        x.orders, life.reconstruct(naive), "order_id", ORDER_FIELDS
-    )
+    return compare.field_differences(*_true_and_naive_orders(x), "order_id", ORDER_FIELDS)
+
+
+@query
+def orders_printed_diff(x: Layers) -> DataFrame:
+    """The same differences through stored fingerprints, which name the buckets to join."""
+    sides = [PrintedTable(x.spark, scratch_path(x.spark, "printed"), "order_id", 6) for _ in range(2)]
+    for side, orders in zip(sides, _true_and_naive_orders(x)):
+        side.write(orders)
+    return printed_differences(*sides, ORDER_FIELDS)
 
 
 @query
@@ -606,9 +612,13 @@ def published_generation(x: Layers) -> DataFrame:
     return store.read("orders").withColumn("generation", F.lit(store.numbers()[-1])).withColumn("moved", F.lit(moved))
 
 
+def _report(x: Layers) -> DataFrame:
+    return x.spark.read.schema(REPORT_SCHEMA).json(f"{x.published}/{C.LAYOUT['report']}")
+
+
 @query
 def run_report(x: Layers) -> DataFrame:
-    report = x.spark.read.schema(REPORT_SCHEMA).json(f"{x.published}/{C.LAYOUT['report']}")
+    report = _report(x)
     plain = [name for name in quality.REPORT_FIELDS if name != "rejected_by_reason"]
     reasons = report.select(F.explode("rejected_by_reason").alias("metric", "value"))
     return quality.long_form(report, *plain).unionByName(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -52,8 +52,8 @@ def membership_differences(
     return seen.where(F.col("_a") != F.col("_e")).select(*keys, side.alias("side"))
 
 
-def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Row count and an order-free digest sum over the text of every row.
+def row_number_of(columns: Sequence[str]) -> Column:
+    """A number from the text of a row's columns, to be added up over rows.
 
     Values are separated and NULL has a marker of its own, so no two rows share a text.
     """
@@ -62,11 +62,15 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
             F.concat(F.lit("="), F.replace(F.col(c).cast("string"), F.lit("|"), F.lit("||"))),
             F.lit("~"),
         )
-        for c in columns or sorted(df.columns)
+        for c in columns
     ]
     digest = F.md5(F.concat_ws("|", *cells))
-    number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(38,0)")
-    total = F.coalesce(F.sum(number), F.lit(0))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(38,0)")
+
+
+def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Row count and an order-free digest sum over the text of every row."""
+    total = F.coalesce(F.sum(row_number_of(columns or sorted(df.columns))), F.lit(0))
     return df.agg(
         F.count("*").alias("row_count"), total.cast("string").alias("digest_sum")
     )
