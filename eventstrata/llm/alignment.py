@@ -18,8 +18,9 @@ from eventstrata.llm.tokens import byte_of_symbol, load_encoder
 from eventstrata.session import scratch_path, stage, stage_counted
 
 SPACE = "▁"
-# Bytes of text that are encoded together, and counts per block of the summed vector.
-TEXT_BYTES, BLOCK = 4 << 20, 1 << 14
+# Characters that are encoded and tokens that are aligned together, whatever the batches: a task's
+# memory follows these and its longest text. Counts per block of the summed vector.
+CHARACTERS, TOKENS, BLOCK = 1 << 20, 1 << 18, 1 << 14
 # Distinct pairs up to which hash, keys and counts (about 18 bytes a pair) go to every task.
 MAX_PAIRS = 1 << 22
 ENCODED = "doc_id long, row long, a array<int>, b array<int>"
@@ -76,7 +77,7 @@ def _encode(path_a: str, path_b: str):
             lo = held = 0
             for at, text in enumerate(texts):
                 held += len(text or "")
-                if held >= TEXT_BYTES or at == len(texts) - 1:
+                if held >= CHARACTERS or at == len(texts) - 1:
                     width = at + 1 - lo
                     yield one(batch.column(0).slice(lo, width), batch.column(1).slice(lo, width), texts[lo : at + 1])
                     lo, held = at + 1, 0
@@ -95,6 +96,16 @@ def encoded(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
     return stage(slim.mapInArrow(_encode(path_a, path_b), ENCODED), scratch_path(documents.sparkSession, "token-ids"))
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in slices of some TOKENS tokens."""
+    for batch in batches:
+        tokens = sum(np.asarray(batch.column(name).value_lengths()).astype(np.int64) for name in "ab")
+        portion = (np.cumsum(tokens) - tokens) // TOKENS
+        starts = np.flatnonzero(np.r_[True, np.diff(portion) > 0])[: batch.num_rows]
+        for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows]):
+            yield batch.slice(lo, hi - lo)
+
+
 class Aligned:
     """The documents of one batch: their tokens end to end, and the tokens that end together.
 
@@ -160,7 +171,7 @@ def _tables(path_a: str, path_b: str) -> tuple[tuple[np.ndarray, np.ndarray], np
 
 def _distinct(lengths) -> Callable:
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             yield pa.RecordBatch.from_pydict({"key": np.unique(Aligned(batch, lengths).links())})
 
     return pairs
@@ -173,7 +184,7 @@ def _vector(lengths, shared) -> Callable:
         hashed: PerfectHash = shared.value
         blocks = -(-len(hashed) // BLOCK)
         total = np.zeros(blocks * BLOCK, dtype=np.int64)
-        for batch in batches:
+        for batch in _portions(batches):
             total += np.bincount(hashed.slots(Aligned(batch, lengths).links()), minlength=len(total))
         square = total.reshape(-1, BLOCK)
         used = np.flatnonzero(square.any(axis=1))
@@ -188,7 +199,7 @@ def _looked_up(tables, shared) -> Callable:
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed, counts, highest = shared.value
-        for batch in batches:
+        for batch in _portions(batches):
             found = Aligned(batch, tables[0])
             key = found.links()
             count = counts[hashed.slots(key)]
@@ -210,7 +221,7 @@ def _row_batch(batch: pa.RecordBatch, found: Aligned, names: np.ndarray, *more:
 
 def _per_document(tables) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             yield _row_batch(batch, Aligned(batch, tables[0]), tables[1])
 
     return rows
@@ -218,7 +229,7 @@ def _per_document(tables) -> Callable:
 
 def _links_by_row(lengths) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             found = Aligned(batch, lengths)
             number, key = batch.column("row").to_numpy()[found.row], found.links()
             order = np.lexsort((key, number))
