@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,14 +59,14 @@ class Generations:
         following = max(self.numbers(), default=0) + 1
         return f"{self.root}/_generations/{following:012}-{uuid.uuid4().hex}"
 
-    def publish(self, folder: str, layers: Mapping[str, str]) -> int:
-        """Make ``layers`` (name to path below ``folder``) visible; returns the number."""
+    def publish(self, folder: str, layers: Mapping[str, str], dropped: Collection[str] = ()) -> int:
+        """Make ``layers`` (name to path below ``folder``) visible and ``dropped`` ones not; returns the number."""
         name = folder.rsplit("/", 1)[1]
         number = int(FOLDER.fullmatch(name)[1])
         published = self.numbers()
         if published and published[-1] >= number:
             raise RuntimeError(f"generation {number} was published by another run")
-        before = {k: v.removeprefix(f"{self.root}/") for k, v in self.layers().items()}
+        before = {k: v.removeprefix(f"{self.root}/") for k, v in self.layers().items() if k not in dropped}
         text = json.dumps({**before, **{k: f"_generations/{name}/{rel}" for k, rel in layers.items()}})
         draft = self._path(f"{self.root}/_manifests/.{uuid.uuid4().hex}")
         out = self._fs.create(draft)

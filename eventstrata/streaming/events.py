@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventstrata.config import DEFAULT, StreamConfig
@@ -18,6 +17,7 @@ from eventstrata.operators.validate import valid, validate
 from eventstrata.session import reread, scratch_path, stage, workspace
 from eventstrata.sinks.tables import write_scan_order
 from eventstrata.sources.lines import land_rows, payload_lines, relative_file
+from eventstrata.streaming.batches import BatchTable, batch_folder
 
 def stream_bronze(
     spark: SparkSession,
@@ -60,28 +60,6 @@ def each_batch(
     )
 
 
-def batch_folder(path: str, batch_id: int) -> str:
-    """A retried micro-batch overwrites its own folder, so nothing is written twice."""
-    return f"{path}/batch_id={batch_id}"
-
-
-def _earlier_batches(like: DataFrame, path: str, batch_id: int) -> DataFrame:
-    """What the batches before this one wrote, also when this one is a retry."""
-    spark = like.sparkSession
-    if batch_id == 0:
-        return spark.createDataFrame([], like.schema)
-    schema = T.StructType([*like.schema.fields, T.StructField("batch_id", T.LongType())])
-    stored = spark.read.schema(schema).parquet(path)
-    return stored.where(F.col("batch_id") < batch_id).drop("batch_id")
-
-
-def _store_by_date(df: DataFrame, path: str) -> DataFrame:
-    """Write date folders; adaptive rebalancing joins small dates and splits a big one."""
-    dealt = df.hint("rebalance", "event_date")
-    dealt.write.mode("overwrite").option("compression", "zstd").partitionBy("event_date").parquet(path)
-    return reread(df, path)
-
-
 def _newest_date(rows: DataFrame, path: str, batch_id: int) -> dt.date | None:
     """The newest event date up to this batch; each batch stores it for the next one.
 
@@ -101,6 +79,7 @@ def deduplicate_batches(
     expired_path: str,
     horizon_days: int,
     config: StreamConfig = DEFAULT,
+    compact_every: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Micro-batch handler: both duplicate stages against a recent index.
 
@@ -123,7 +102,9 @@ def deduplicate_batches(
 
     def deduplicate(rows: DataFrame, batch_id: int) -> None:
         unseen = drop_exact(rows, config).withColumn("event_date", F.to_date("event_time"))
-        seen = _earlier_batches(unseen, seen_path, batch_id)
+        index = BatchTable(rows.sparkSession, seen_path, unseen.schema, compact_every)
+        index.compact(batch_id)
+        seen = index.before(batch_id)
         newest = _newest_date(rows, f"{seen_path}-newest", batch_id)
         earliest = dt.date.min + dt.timedelta(horizon_days)
         cutoff = F.lit(max(newest or earliest, earliest) - dt.timedelta(horizon_days))
@@ -133,18 +114,19 @@ def deduplicate_batches(
         ids = list(config.exact_key)
         recent = seen.where(F.col("event_date") >= cutoff).select(*ids)
         unseen = unseen.where(F.col("event_date") >= cutoff).join(recent, ids, "left_anti")
-        unseen = _store_by_date(unseen, batch_folder(seen_path, batch_id))
+        unseen = index.write(unseen, batch_id)
 
         survivors = drop_semantic(unseen, config)
-        silver = _earlier_batches(survivors, silver_path, batch_id)
-        known = silver.where(F.col("event_date") >= cutoff).select(*config.semantic_key)
+        silver = BatchTable(rows.sparkSession, silver_path, survivors.schema, compact_every)
+        silver.compact(batch_id)
+        known = silver.before(batch_id).where(F.col("event_date") >= cutoff).select(*config.semantic_key)
         new, known = survivors.alias("new"), known.alias("known")
         same = [
             F.col(f"new.{part}").eqNullSafe(F.col(f"known.{part}"))
             for part in config.semantic_key
         ]
         fresh = new.join(known, reduce(Column.__and__, same), "left_anti")
-        _store_by_date(fresh, batch_folder(silver_path, batch_id))
+        silver.write(fresh, batch_id)
 
     return handle
 

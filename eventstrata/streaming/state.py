@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from eventstrata.config import DEFAULT, StreamConfig
 from eventstrata.operators.dedup import drop_exact
 from eventstrata.sinks.tables import write_scan_order
-from eventstrata.streaming.events import batch_folder
+from eventstrata.streaming.batches import batch_folder
 
 CLOCK = "_clock"
 

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pytest
+from pyspark.sql import functions as F
+
 from eventstrata.config import SEMANTIC_KEY
 from eventstrata.operators.compare import membership_differences
 from eventstrata.session import scratch_path
 from eventstrata.streaming import events as streams
 from eventstrata.streaming import state
+from eventstrata.streaming.batches import BatchTable
 from eventstrata.operators.dedup import dedup_input, silver_with_counts
 from eventstrata.operators.validate import valid, validate
 from eventstrata.sources.lines import land_files
@@ -98,7 +102,7 @@ def test_stored_batches_are_pruned_by_date_and_staged_rows_removed(spark, tmp_pa
     days = {p.name for p in Path(seen).glob("batch_id=0/event_date=*")}
     assert min(days) == "event_date=2024-01-25" and max(days) == "event_date=2024-01-30"
     like = spark.read.parquet(seen).drop("batch_id")
-    stored = streams._earlier_batches(like, seen, 1).where("event_date >= DATE '2024-01-28'")
+    stored = BatchTable(spark, seen, like.schema).before(1).where("event_date >= DATE '2024-01-28'")
     plan = stored._jdf.queryExecution().executedPlan().toString()
     assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
@@ -139,3 +143,61 @@ def test_state_falls_behind_the_horizon(spark, tmp_path):
     assert 0 < max(r[0] for r in rows[-4:]) < ids / 2
     kept = spark.read.parquet(out)
     assert kept.count() == kept.select("order_id").distinct().count() == 20 * 12
+
+
+def test_dedup_with_compaction_matches_batch_keys(spark, tmp_path):
+    source = write_stream(spark, tmp_path / "in", 7)
+    silver, seen, expired = (scratch_path(spark, n) for n in ("silver", "seen", "expired"))
+    rows = streams.stream_valid(spark, source, files_per_trigger=1)
+    handler = streams.deduplicate_batches(silver, seen, expired, horizon_days=60, compact_every=2)
+    streams.each_batch(rows, handler, scratch_path(spark, "progress")).awaitTermination()
+    batch = silver_with_counts(batch_typed(spark, source))
+    runs = BatchTable(spark, silver, batch.schema, 2).runs()
+    stored = BatchTable(spark, silver, spark.read.parquet(runs[0][2]).schema, 2).before(7)
+    assert [r[:2] for r in runs] == [(0, 3), (4, 5)]
+    assert stored.count() == batch.count()
+    assert membership_differences(stored, batch, SEMANTIC_KEY).count() == 0
+
+
+def test_files_per_date_stay_bounded_over_fifty_batches(spark, tmp_path):
+    table = BatchTable(spark, str(tmp_path / "t"), None, 4)
+    rows = spark.range(4).selectExpr("id", "date_add(DATE '2026-09-01', cast(id % 2 as int)) AS event_date")
+    table.schema = rows.schema
+    folders, most = [], 0
+    for n in range(50):
+        table.compact(n)
+        table.write(rows.withColumn("id", F.col("id") + 10 * n), n)
+        assert n % 10 or table.before(n + 1).count() == 4 * (n + 1)
+        read = table.before(n + 1).inputFiles()
+        most = max(most, len([f for f in read if "event_date=2026-09-01" in f]))
+        folders.append(len(list((tmp_path / "t").glob("batch_id=*"))))
+    # At most three runs on each of three tiers and four fresh batches; one file each.
+    assert most <= 3 * 3 + 4 and max(folders) <= 9
+    kept = table.before(50)
+    assert kept.count() == kept.distinct().count() == 200
+    assert len(list((tmp_path / "t-runs" / "_generations").iterdir())) <= 12
+    # A retry of the batch behind a compaction sees the same rows before it.
+    again = BatchTable(spark, table.path, rows.schema, 4)
+    assert again.before(49).count() == 196
+    table.write(rows.withColumn("id", F.col("id") + 490), 49)
+    assert again.before(50).distinct().count() == 200
+
+
+def test_compaction_that_breaks_off_loses_nothing(spark, tmp_path, monkeypatch):
+    rows = spark.range(3).selectExpr("id", "DATE '2026-09-01' AS event_date")
+    table = BatchTable(spark, str(tmp_path / "t"), rows.schema, 2)
+    for n in range(4):
+        table.write(rows, n)
+
+    def fail(*args):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(table.store, "publish", fail)
+        with pytest.raises(OSError):
+            table.compact(4)
+    assert table.before(4).count() == 12 and table.runs() == []
+    assert table.compact(4) and not table.compact(4)
+    assert table.before(4).count() == 12
+    with pytest.raises(ValueError, match="at least two"):
+        BatchTable(spark, table.path, rows.schema, 1)
