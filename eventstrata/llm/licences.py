@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,17 +20,32 @@ MIN_HITS = 2
 MIN_PROBABILITY = 0.5
 MIN_AGREEMENT = 0.6
 
-# Wording of public licences and their usual notices, by family.
+# Wording of public licences and their usual notices, by family and version.
 TEMPLATES = {
     "MIT": (
         "Released under the MIT License.",
         "Licensed under the MIT license.",
+        "This project is licensed under the terms of the MIT license.",
         "SPDX-License-Identifier: MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
         "associated documentation files (the \"Software\"), to deal in the Software without restriction",
         "The above copyright notice and this permission notice shall be included in all copies or substantial "
         "portions of the Software.",
     ),
+    "MIT-0": (
+        "Licensed under the MIT No Attribution license.",
+        "SPDX-License-Identifier: MIT-0",
+    ),
+    "ISC": (
+        "Licensed under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "Apache-1.1": (
+        "Licensed under the Apache Software License, Version 1.1.",
+        "SPDX-License-Identifier: Apache-1.1",
+    ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
@@ -38,39 +54,96 @@ TEMPLATES = {
         "Unless required by applicable law or agreed to in writing, software distributed under the License is "
         "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND",
     ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation; either version 2 of the License",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+    ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
         "General Public License as published by the Free Software Foundation, either version 3 of the License",
+        "SPDX-License-Identifier: GPL-3.0-only",
         "SPDX-License-Identifier: GPL-3.0-or-later",
-        "You should have received a copy of the GNU General Public License along with this program.",
     ),
-    "BSD": (
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+    ),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation, either version 3 of the License",
+        "SPDX-License-Identifier: LGPL-3.0-only",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+    ),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Affero General Public License as published by the Free Software Foundation, either version 3 of the License",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ),
+    "BSD-2-Clause": (
+        "Released under the BSD 2-Clause License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+    ),
+    "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission.",
+    ),
+    "BSD": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met",
         "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
         "the following disclaimer in the documentation and/or other materials provided with the distribution.",
     ),
-    "CC-BY": (
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    ),
-    "CC-BY-SA": (
-        "Licensed under CC BY-SA 4.0.",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    ),
-    "CC-BY-NC": (
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC0-1.0": (
+        "Released under CC0 1.0.",
+        "SPDX-License-Identifier: CC0-1.0",
+        "This work is dedicated to the public domain under CC0 1.0 Universal.",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
     ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Released under the Unlicense.",
+        "SPDX-License-Identifier: Unlicense",
+    ),
 }
+CONDITIONS = {"": "", "SA": "ShareAlike", "ND": "NoDerivatives", "NC": "NonCommercial"}
+for _one, _two in (("", ""), ("SA", ""), ("ND", ""), ("NC", ""), ("NC", "SA"), ("NC", "ND")):
+    _short = "-".join(filter(None, ("BY", _one, _two)))
+    _long = "-".join(filter(None, ("Attribution", CONDITIONS[_one], CONDITIONS[_two])))
+    TEMPLATES[f"CC-{_short}"] = tuple(
+        text
+        for version in ("4.0", "3.0", "2.5", "2.0")
+        for text in (
+            f"Licensed under CC {_short} {version}.",
+            f"This work is licensed under a Creative Commons {_long} {version} International License.",
+        )
+    )
+# Words that tell these licences and their versions apart. A paragraph and the
+# template that confirms it have the same ones.
+MARKS = (
+    "mit isc apache bsd gnu gpl lgpl agpl lesser library affero cc cc0 creative sharealike sa noncommercial nc "
+    "noderivatives noderivs nd attribution mozilla mpl eclipse epl unlicense unencumbered 0 1 2 3 4 5"
+).split()
 
 
 def paragraphs(documents: DataFrame) -> DataFrame:
@@ -116,15 +189,18 @@ def fit(examples: list[tuple[list[int], str]], families: tuple[str, ...], grams:
     """
     column = {g: i for i, g in enumerate(grams)}
     classes = {name: i for i, name in enumerate((*families, UNKNOWN))}
-    x = np.zeros((len(examples), len(grams)))
-    y = np.zeros((len(examples), len(classes)))
-    for i, (found, name) in enumerate(examples):
-        x[i, [column[g] for g in found if g in column]] = 1
-        y[i, classes[name]] = 1
+    # Examples with the same n-grams and class are one with their number as weight: most
+    # paragraphs of a corpus share no n-gram with any licence.
+    alike = Counter((tuple(sorted(column[g] for g in set(found) if g in column)), classes[name]) for found, name in examples)
+    x, y = np.zeros((len(alike), len(grams))), np.zeros((len(alike), len(classes)))
+    for i, (found, name) in enumerate(alike):
+        x[i, list(found)] = 1
+        y[i, name] = 1
     x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
-    share = np.maximum(y.sum(axis=0), 1)
-    weight = (y / share).sum(axis=1) * len(examples) / len(classes)
-    held = np.arange(len(examples)) % 5 == 4
+    times = np.array(list(alike.values()), dtype=float)
+    share = np.maximum((y * times[:, None]).sum(axis=0), 1)
+    weight = times * (y / share).sum(axis=1) * times.sum() / len(classes)
+    held = np.arange(len(alike)) % 5 == 4
 
     def descend(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w, b = np.zeros((len(grams), len(classes))), np.zeros(len(classes))
@@ -140,7 +216,7 @@ def fit(examples: list[tuple[list[int], str]], families: tuple[str, ...], grams:
     likely = [
         float((weight[held, None] * y[held] * np.log(_softmax((x[held] @ w + b) / t) + 1e-12)).sum()) for t in grid
     ]
-    w, b = descend(np.arange(len(examples)))
+    w, b = descend(np.arange(len(alike)))
     return LicenceModel(tuple(families), grams, w, b, grid[int(np.argmax(likely))] if held.any() else 1.0)
 
 
@@ -192,7 +268,9 @@ def classify(lines: DataFrame, model: LicenceModel, templates: DataFrame) -> Dat
     All row by row with built-in functions. Paragraphs with fewer than two of the model's
     n-grams are unknown without a score; a predicted family counts if its calibrated
     probability reaches MIN_PROBABILITY and a template of it holds MIN_AGREEMENT of the
-    paragraph's n-grams, or the paragraph holds all n-grams of the template.
+    paragraph's n-grams, or the paragraph holds all n-grams of the template. That template
+    has the paragraph's own MARKS, so that a name, a condition or a version that disagrees
+    leaves the paragraph unknown.
     """
     spark = lines.sparkSession
     known = F.lit(list(model.grams))
@@ -221,9 +299,13 @@ def classify(lines: DataFrame, model: LicenceModel, templates: DataFrame) -> Dat
     known = templates.groupBy("family").agg(F.collect_list("grams").alias("templates"))
     compared = guess.join(F.broadcast(known), "family")
 
+    marks = F.array(*[F.xxhash64(F.lit(m)) for m in MARKS])
+
     def shared(t: Column) -> Column:
         both = F.size(F.array_intersect(F.col("grams"), t))
-        return F.greatest(both / F.size("grams"), F.when(both == F.size(t), 1.0).otherwise(0.0))
+        told = F.array_intersect(marks, F.col("grams")) == F.array_intersect(marks, t)
+        share = F.greatest(both / F.size("grams"), F.when(both == F.size(t), 1.0).otherwise(0.0))
+        return F.when(told, share).otherwise(0.0)
 
     agreement = F.array_max(F.transform("templates", shared))
     return compared.select("doc_id", "paragraph", "family", "probability", agreement.alias("agreement")).where(

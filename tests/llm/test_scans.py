@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -156,6 +157,69 @@ def test_licences(documents, texts):
     assert all(0.5 <= r["probability"] <= 1 and r["agreement"] >= 0.6 for r in rows)
 
 
+LINES = {
+    "This library is under the GNU Lesser General Public License, version 2.1.": {"LGPL-2.1", None},
+    "This work is licensed under the GNU Lesser General Public License, version 2.1.": {"LGPL-2.1"},
+    "This work is licensed under the GNU Affero General Public License, version 3.": {"AGPL-3.0"},
+    "SPDX-License-Identifier: LGPL-3.0-or-later": {"LGPL-3.0"},
+    "// SPDX-License-Identifier: GPL-2.0-only": {"GPL-2.0"},
+    "This work is licensed under the GNU General Public License, version 2.": {"GPL-2.0"},
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+    "Public License version 2 as published by the Free Software Foundation": {"GPL-2.0", None},
+    "GNU Library General Public License, version 2": {None},
+    "Licensed under the Eclipse Public License, version 2.0.": {"EPL-2.0"},
+    "Licensed under the Eclipse Public License, version 1.0.": {None},
+    "Released under the ISC License.": {"ISC", None},
+    "Licensed under the MIT No Attribution license.": {"MIT-0"},
+    "Licensed under CC BY-ND 4.0.": {"CC-BY-ND"},
+    "Licensed under CC BY-NC-SA 3.0.": {"CC-BY-NC-SA"},
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.": {
+        "CC-BY-NC-ND"
+    },
+    "Licensed under the Apache License, Version 1.1.": {"Apache-1.1", None},
+    "Licensed under the Apache License, Version 1.0.": {"Apache-1.1", None},
+    "Licensed under the Boost Software License, Version 1.0.": {None},
+    "Licensed under the Zlib license.": {None},
+    "Released under the Artistic License 2.0": {None},
+    "You should have received a copy of the GNU General Public License along with this program.": {None},
+    "Licensed under the MIT license or the Apache License, Version 2.0.": {None},
+    "Driving license renewals are handled by the office of motor vehicles.": {None},
+    "Released under the MIT License": {"MIT"},
+    "* Licensed under the Apache License, Version 2.0 (the License);": {"Apache-2.0"},
+    "Mozilla Public License, version 2.0": {"MPL-2.0"},
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software": {"MIT"},
+    "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies.": {"ISC"},
+}
+
+
+def test_licence_lines_that_are_not_in_the_tables(spark, documents):
+    """The right family or nothing; and a plain scorer on the same n-grams agrees row by row."""
+    model, templates = licences.train(documents)
+    lines = spark.createDataFrame([(i, 0, line) for i, line in enumerate(LINES)], "doc_id long, paragraph int, line string")
+    got = {r["doc_id"]: r for r in licences.classify(lines, model, templates).collect()}
+    for i, (line, right) in enumerate(LINES.items()):
+        assert (got[i]["family"] if i in got else None) in right, line
+    grams = {r["doc_id"]: r["g"] for r in lines.select("doc_id", licences.ngrams(F.col("line")).alias("g")).collect()}
+    known = [(r["family"], set(r["grams"])) for r in templates.collect()]
+    marks = {r[0] for r in spark.createDataFrame([(m,) for m in licences.MARKS], "m string").select(F.xxhash64("m")).collect()}
+    at = {g: i for i, g in enumerate(model.grams)}
+    for i in range(len(LINES)):
+        hits = [at[g] for g in grams[i] if g in at]
+        want = None
+        if len(hits) >= licences.MIN_HITS:
+            z = (model.weights[hits].sum(axis=0) / len(hits) ** 0.5 + model.bias) / model.temperature
+            p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+            family = (*model.families, licences.UNKNOWN)[int(z.argmax())]
+            own = set(grams[i])
+            agree = [
+                1.0 if t <= own else len(own & t) / len(own) for f, t in known if f == family and own & marks == t & marks
+            ]
+            if family != licences.UNKNOWN and p.max() >= licences.MIN_PROBABILITY and max(agree, default=0) >= licences.MIN_AGREEMENT:
+                want = (family, pytest.approx(p.max()), pytest.approx(max(agree)))
+        assert (tuple(got[i][c] for c in ("family", "probability", "agreement")) if i in got else None) == want
+
+
 def test_licences_awkward_rows(awkward, nothing):
     rows = licences.licences(awkward).collect()
     assert [(r["doc_id"], r["paragraph"], r["family"]) for r in rows] == [(8, 0, "CC-BY-NC")]
