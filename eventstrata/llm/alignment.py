@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,10 +21,11 @@ from eventstrata.session import scratch_path, stage, stage_counted
 SPACE = "▁"
 # Characters that are encoded and tokens that are aligned together, whatever the batches: a task's
 # memory follows these and its longest text. Counts per block of the summed vector.
-CHARACTERS, TOKENS, BLOCK = 1 << 20, 1 << 18, 1 << 14
+CHARACTERS, TOKENS, BLOCK = 1 << 18, 1 << 18, 1 << 14
 # Distinct pairs up to which hash, keys and counts (about 18 bytes a pair) go to every task.
 MAX_PAIRS = 1 << 22
-ENCODED = "doc_id long, row long, a array<int>, b array<int>"
+# Ids as little-endian numbers of two or four bytes, whichever the vocabulary needs.
+ENCODED = "doc_id long, row long, a binary, b binary"
 COUNTED = "n_a long, n_b long, n_groups long, n_links long"
 
 
@@ -51,25 +53,30 @@ def piece_model(path: str) -> tuple[sentencepiece.SentencePieceProcessor, tuple[
     return model, tuple(raw)
 
 
+def id_type(vocabulary: int) -> np.dtype:
+    return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
+
+
 def _encode(path_a: str, path_b: str):
     def one(ids: pa.Array, rows: pa.Array, texts: list[str | None]) -> pa.RecordBatch:
         encode = load_encoder(path_a, special=False)
         bytes_a = byte_level_tokens(path_a)
         model, bytes_b = piece_model(path_b)
+        kinds = id_type(len(bytes_a)), id_type(len(bytes_b))
         a, b = [], []
         filled = [t for t in texts if t]
         pieces = iter(model.encode(filled, num_threads=1) if filled else [])
         for text in texts:
             if not text:
-                a.append([])
-                b.append([])
+                a.append(b"")
+                b.append(b"")
                 continue
             left, right, whole = encode(" " + text), next(pieces), (" " + text).encode()
             same = b"".join([bytes_a[i] for i in left]) == whole == b"".join([bytes_b[i] for i in right])
-            a.append(left if same else [])
-            b.append(right if same else [])
-        kind = pa.list_(pa.int32())
-        return pa.RecordBatch.from_arrays([ids, rows, pa.array(a, kind), pa.array(b, kind)], names=["doc_id", "row", "a", "b"])
+            a.append(np.array(left, dtype=kinds[0]).tobytes() if same else b"")
+            b.append(np.array(right, dtype=kinds[1]).tobytes() if same else b"")
+        arrays = [ids, rows, pa.array(a, pa.binary()), pa.array(b, pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "row", "a", "b"])
 
     def encode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,9 +104,9 @@ def encoded(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
 
 def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of all batches in slices of some TOKENS tokens."""
+    """The rows of all batches in slices of some TOKENS tokens, at two bytes each."""
     for batch in batches:
-        tokens = sum(np.asarray(batch.column(name).value_lengths()).astype(np.int64) for name in "ab")
+        tokens = sum(np.asarray(pc.binary_length(batch.column(name))).astype(np.int64) // 2 for name in "ab")
         portion = (np.cumsum(tokens) - tokens) // TOKENS
         starts = np.flatnonzero(np.r_[True, np.diff(portion) > 0])[: batch.num_rows]
         for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows]):
@@ -118,9 +125,10 @@ class Aligned:
         self.rows = batch.num_rows
         self.size, ids, ends = [], [], []
         for name, length in zip("ab", lengths):
-            lists = batch.column(name)
-            self.size.append(np.asarray(lists.value_lengths()).astype(np.int64))
-            ids.append(lists.flatten().to_numpy().astype(np.int64))
+            kind = id_type(len(length))
+            packed = batch.column(name).cast(pa.large_binary())
+            self.size.append(np.asarray(pc.binary_length(packed)).astype(np.int64) // kind.itemsize)
+            ids.append(np.frombuffer(b"".join(packed.to_pylist()), dtype=kind).astype(np.int64))
             ends.append(np.cumsum(length[ids[-1]]))
         self.a, self.b = ids
         near = np.searchsorted(ends[1], ends[0])
