@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from math import inf
 from zlib import crc32
 
 import numpy as np
@@ -12,52 +13,58 @@ from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2 as model_format
 
 from eventstrata.llm.common import text_bytes
+from eventstrata.llm.transducers import Lattice, normaliser, rewriting, speller
 
 SPACE = "▁"
-BPE, NORMAL, UNKNOWN, BYTE = 2, 1, 2, 6
+UNIGRAM, BPE, NORMAL, UNKNOWN, BYTE = 1, 2, 1, 2, 6
+# Weight of a fallback character: in BPE models the only weight there is, in unigram models
+# what their library adds to the weight of the unlikeliest piece.
+BPE_FALLBACK, UNIGRAM_FALLBACK = 1.0, 10.0
 # Chunks whose shortest path a worker remembers; longer chunks than LONGEST are not kept.
-LEAD = 4
 REMEMBERED, LONGEST = 400_000, 48
 
 
 class PieceTransducer:
-    """Text to piece ids for a BPE model with byte fallback.
-
-    Three machines are composed. The normaliser rewrites spaces to U+2581 and puts one in
-    front. The piece machine spells pieces; its state is the last piece, and an arc to the
-    next has weight 0 if merging the two pieces' characters by the model's scores gives
-    back exactly these two, else it has infinite weight. Byte fallback adds an arc per
-    character outside the vocabulary, to the pieces of its bytes, at weight 1. A sequence
-    of merges is the model's own exactly if all its neighbours are stable in this sense, so
-    the tropical shortest path over (position, last piece) is the model's segmentation, and
-    every position keeps a single best last piece. Input is composed chunk by chunk: no
-    piece has a space mark after another character, so paths never cross those places.
+    """Text to piece ids for a BPE or unigram model with byte fallback.
+
+    Three machines are compiled: the normaliser writes a space mark in front and for every
+    space; the speller spells pieces, in a unigram model at the weight of minus their score;
+    fallback adds an arc per character outside the vocabulary. For BPE a fourth machine runs
+    over the pieces: its state is the last piece, and the arc to the next weighs 0 if
+    merging the two pieces' characters by the model's scores gives back exactly these two,
+    else it is infinite. A sequence of merges is the model's own exactly if all its
+    neighbours are stable in this sense, so the tropical shortest path through the
+    composition with an input is the model's segmentation; fallback characters become the
+    pieces of their bytes. Input is composed in chunks and parts of them, cut where no piece
+    can lie across: no piece has a space mark after another character.
     """
 
     def __init__(self, path: str):
         proto = model_format.ModelProto()
         with open(path, "rb") as file:
             proto.ParseFromString(file.read())
-        spec = proto.normalizer_spec
-        if proto.trainer_spec.model_type != BPE or not proto.trainer_spec.byte_fallback:
-            raise ValueError("only BPE models with byte fallback are supported")
+        spec, kind = proto.normalizer_spec, proto.trainer_spec.model_type
+        if kind not in (BPE, UNIGRAM) or not proto.trainer_spec.byte_fallback:
+            raise ValueError("only BPE and unigram models with byte fallback are supported")
         if spec.precompiled_charsmap or spec.remove_extra_whitespaces or not spec.add_dummy_prefix:
             raise ValueError("only the identity normaliser with a dummy prefix is supported")
         self.pieces = [p.piece for p in proto.pieces]
-        self.id = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == NORMAL}
         self.score = {p.piece: p.score for p in proto.pieces if p.type == NORMAL}
         self.byte = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.kind = [p.type for p in proto.pieces]
         self.raw = {i: b for b, i in self.byte.items()}
-        if any(SPACE in p.lstrip(SPACE) for p in self.id):
+        if any(SPACE in p.lstrip(SPACE) for p in self.score):
             raise ValueError("a piece has a space mark after another character")
-        # Longest piece by its first LEAD characters; without such a piece only shorter ones fit.
-        self.reach: dict[str, int] = {}
-        for piece in self.id:
-            if len(piece) >= LEAD:
-                self.reach[piece[:LEAD]] = max(len(piece), self.reach.get(piece[:LEAD], 0))
+        unigram = kind == UNIGRAM
+        weights = {
+            p.piece: (i, -p.score if unigram else 0.0) for i, p in enumerate(proto.pieces) if p.type == NORMAL
+        }
+        self.front, self.rewrite = rewriting(normaliser(SPACE))
+        fallback = UNIGRAM_FALLBACK - min(self.score.values(), default=0.0) if unigram else BPE_FALLBACK
+        self.lattice = Lattice(speller(weights), fallback, None if unigram else self.between)
         self.chunk = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.stable: dict[int, bool] = {}
+        self.joined = {p[i : i + 2] for p in self.score for i in range(len(p) - 1)}
+        self.stable: dict[int, float] = {}
         self.known: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
 
@@ -75,71 +82,73 @@ class PieceTransducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def follows(self, last: int, piece: int) -> bool:
-        """Whether the arc from state ``last`` to ``piece`` has weight 0."""
+    def between(self, last: int, piece: int) -> float:
+        """Weight of the arc from state ``last`` to ``piece``."""
         pair = last << 32 | piece
         found = self.stable.get(pair)
         if found is None:
             if len(self.stable) > REMEMBERED:
                 self.stable.clear()
             a, b = self.pieces[last], self.pieces[piece]
-            found = self.stable[pair] = self.merged(a + b) == [a, b]
+            found = self.stable[pair] = 0.0 if self.merged(a + b) == [a, b] else inf
         return found
 
-    def path(self, chunk: str) -> list[int]:
-        """Ids along the shortest path of one chunk.
+    def cut(self, chunk: str) -> list[str]:
+        """A chunk where two characters meet that no piece has next to each other.
 
-        Arcs are composed lazily, longest piece first. All finite paths weigh the same (one
-        per fallback character), so the first that reaches the end is shortest. A place
-        that a path had to leave again is dead: its best last piece is unique.
+        Every path passes such a place, and no merge crosses it, so the parts' paths make up
+        the chunk's. Long runs without spaces, as in scripts that write none, fall into
+        short parts that come again.
         """
-        ids, reach, stable, size = self.id.get, self.reach.get, self.stable.get, len(chunk)
-        taken: list[tuple[int, int]] = []  # (start, piece), -1 for a fallback character
-        dead: set[int] = set()
-        at, last = 0, -1
-        while at < size:
-            for end in range(min(at + reach(chunk[at : at + LEAD], LEAD - 1), size), at, -1):
-                piece = ids(chunk[at:end], -1)
-                if piece < 0 and end > at + 1 or dead and end in dead:
-                    continue
-                if last >= 0 and piece >= 0:
-                    arc = stable(last << 32 | piece)
-                    if not (self.follows(last, piece) if arc is None else arc):
-                        continue
-                taken.append((at, piece))
-                at, last = end, piece
-                break
-            else:
-                dead.add(at)
-                at = taken.pop()[0]
-                last = taken[-1][1] if taken else -1
+        joined, parts, at = self.joined, [], 0
+        for i in range(1, len(chunk)):
+            if chunk[i - 1 : i + 1] not in joined:
+                parts.append(chunk[at:i])
+                at = i
+        parts.append(chunk[at:])
+        return parts
+
+    def path(self, part: str) -> list[int]:
+        """Ids along the shortest path of one part, fallback characters as their bytes' pieces."""
         out: list[int] = []
-        for start, piece in taken:
-            if piece < 0:
-                out += [self.byte[b] for b in chunk[start].encode("utf-8")]
+        for label in self.lattice.shortest(part):
+            if label >= 0:
+                out.append(label)
             else:
-                out.append(piece)
+                out += [self.byte[b] for b in chr(~label).encode("utf-8")]
         return out
 
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
         out: list[int] = []
-        for chunk in self.chunk.findall(SPACE + text.replace(" ", SPACE)):
+        for read, written in self.rewrite:
+            text = text.replace(read, written)
+        for chunk in self.chunk.findall(self.front + text):
             out += self.known.get(chunk) or self.remembered(chunk)
         return out
 
     def remembered(self, chunk: str) -> tuple[int, ...]:
-        """The path of a chunk that is not in the young memo.
+        """The path of a chunk that is not in the young memo, from those of its parts."""
+        parts = self.cut(chunk)
+        if len(parts) == 1:
+            return self.recall(chunk)
+        found: list[int] = []
+        for part in parts:
+            found += self.known.get(part) or self.recall(part)
+        return self.recall(chunk, tuple(found))
+
+    def recall(self, part: str, found: tuple[int, ...] | None = None) -> tuple[int, ...]:
+        """A part's path from the old memo or anew, put into the young one.
 
         A full memo becomes the old one and what is still used moves over from it, so
-        frequent chunks stay known and memory is bounded by two memos.
+        frequent parts stay known and memory is bounded by two memos.
         """
-        found = self.old.get(chunk) or tuple(self.path(chunk))
-        if len(chunk) <= LONGEST:
+        found = found or self.old.get(part) or tuple(self.path(part))
+        if len(part) <= LONGEST:
             if len(self.known) >= REMEMBERED:
                 self.old, self.known = self.known, {}
-            self.known[chunk] = found
+            self.known[part] = found
         return found
 
     def decode(self, ids: list[int]) -> str:
