@@ -631,13 +631,15 @@ def run_report(x: Layers) -> DataFrame:
 
 @query
 def incremental_dedup_anti(x: Layers) -> DataFrame:
+    x.rows
     history = drop_exact(x.typed.where(F.col("ingested_at") < F.lit(HISTORY_END)))
     index = history.select("event_id", F.to_date("event_time").alias("event_date"))
     path = scratch_path(x.spark, "id-index")
     tables.write_by_date(index, path, "event_date", ["event_id"])
     stored = x.spark.read.schema(index.schema).parquet(path)
+    ranges = stage(incremental.id_ranges(stored), scratch_path(x.spark, "id-ranges"))
     batch = x.typed.where(F.col("ingested_at") >= F.lit(OVERLAP_START))
-    return incremental.unseen_events(batch, stored, INDEX_SINCE).select(
+    return incremental.unseen_events(batch, stored, INDEX_SINCE, ranges=ranges).select(
         "event_id", "order_id", "event_type", "event_time", F.col("_copies").alias("copies")
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from bisect import bisect_right
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -19,15 +20,58 @@ from eventstrata.sources.lines import land_rows
 SALTS = 64
 
 
+def id_ranges(index: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
+    """Per date of an id index the least and the greatest key and their number: a row per day."""
+    key = F.struct(*config.exact_key)
+    return index.groupBy("event_date").agg(
+        F.min(key).alias("lowest"), F.max(key).alias("highest"), F.count("*").alias("ids")
+    )
+
+
+def dates_to_search(
+    batch: DataFrame, ranges: DataFrame, since: dt.date, config: StreamConfig = DEFAULT
+) -> list[dt.date]:
+    """Index dates on or after ``since`` that can hold a key of the batch, in order.
+
+    The batch's keys are ranged per event date. A date whose own range meets none of them
+    holds none of the keys. Producers that count their ids up, or put the time in front,
+    leave a batch with the few dates it is about; with random ids every date stays. Both
+    sides have a row per day, so they are compared on the driver.
+    """
+    asked = id_ranges(batch.withColumn("event_date", F.to_date("event_time")), config).collect()
+    spans: list[list[tuple]] = []
+    for low, high in sorted((tuple(r["lowest"]), tuple(r["highest"])) for r in asked):
+        if spans and low <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], high)
+        else:
+            spans.append([low, high])
+    lows = [low for low, _ in spans]
+
+    def meets(low: tuple, high: tuple) -> bool:
+        at = bisect_right(lows, high) - 1
+        return at >= 0 and spans[at][1] >= low
+
+    stored = ranges.where(F.col("event_date") >= F.lit(since)).collect()
+    return sorted(r["event_date"] for r in stored if meets(tuple(r["lowest"]), tuple(r["highest"])))
+
+
 def unseen_events(
-    batch: DataFrame, index: DataFrame, since: dt.date, config: StreamConfig = DEFAULT
+    batch: DataFrame,
+    index: DataFrame,
+    since: dt.date,
+    config: StreamConfig = DEFAULT,
+    ranges: DataFrame | None = None,
 ) -> DataFrame:
     """Valid rows of a batch, one per id, whose id the recent index does not hold.
 
     The batch is combined per id before the join, so copies of one id never meet in it; the
-    index is cut to the partitions on or after ``since``.
+    index is cut to the partitions on or after ``since``. With the stored ``id_ranges`` of
+    the index only those dates are read whose ids can be in the batch.
     """
-    recent = index.where(F.col("event_date") >= F.lit(since)).select(*config.exact_key)
+    recent = index.where(F.col("event_date") >= F.lit(since))
+    if ranges is not None:
+        recent = recent.where(F.col("event_date").isin(dates_to_search(batch, ranges, since, config)))
+    recent = recent.select(*config.exact_key)
     return drop_exact(batch, config).join(recent, list(config.exact_key), "left_anti")
 
 
