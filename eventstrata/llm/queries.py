@@ -154,6 +154,39 @@ def _secrets_sql() -> str:
     """
 
 
+def _minhash_sql() -> str:
+    """All similarities from shared shingles, components by following the links."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+    WITH RECURSIVE split AS (
+        SELECT row_number() OVER () AS r, doc_id,
+            regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w
+        FROM documents
+    ),
+    sets AS (
+        SELECT r, doc_id, CASE
+            WHEN len(w) < 4 THEN list_filter([array_to_string(w, ' ')], lambda x: len(w) > 0)
+            ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+        FROM split
+    ),
+    members AS (SELECT r, len(s) AS n, unnest(s) AS x FROM sets),
+    shared AS (
+        SELECT a.r AS p, b.r AS q, any_value(a.n) AS m, any_value(b.n) AS n, count(*) AS common
+        FROM members a JOIN members b ON a.x = b.x AND a.r < b.r GROUP BY 1, 2
+    ),
+    linked AS (SELECT p, q FROM shared WHERE 100 * common >= 80 * (m + n - common)),
+    links AS (FROM linked UNION ALL SELECT q, p FROM linked),
+    reached AS (
+        SELECT r, r AS t FROM sets
+        UNION
+        SELECT reached.r, links.q FROM reached JOIN links ON reached.t = links.p
+    ),
+    named AS (SELECT reached.r, min(sets.doc_id) AS component_id FROM reached JOIN sets ON sets.r = t GROUP BY 1)
+    SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+    FROM sets JOIN named USING (r)
+    """
+
+
 REGISTRY: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -172,4 +205,4 @@ REGISTRY: dict[str, Query] = {
         op13_embedding_whitening,
     )
 }
-EXPECTED: dict[str, str] = {"op9_secret_scans": _secrets_sql()}
+EXPECTED: dict[str, str] = {"op9_secret_scans": _secrets_sql(), "op12_minhash_near_dedup": _minhash_sql()}
