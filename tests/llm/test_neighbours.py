@@ -103,3 +103,13 @@ def test_few_and_no_rows(spark):
     assert [tuple(r) for r in nearest_neighbours(table, query()).collect()] == [(100, 1, 1, 2.0)]
     empty = nearest_neighbours(table.limit(0), query())
     assert empty.columns == ["query_id", "rank", "vec_id", "score"] and empty.count() == 0
+
+
+def test_extra_columns_with_the_operators_own_names(spark):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(60, 4)).tolist()
+    plain_rows = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    extra = plain_rows.selectExpr("*", "'x' AS region", "1 AS salt", "2D AS radius", "array(1D) AS point", "true AS is_query", "7 AS by")
+    want = nearest_neighbours(plain_rows, query(), Search(k=3)).orderBy("query_id", "rank").collect()
+    got = nearest_neighbours(extra, query(), Search(k=3)).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want] and want
