@@ -252,8 +252,9 @@ def _links_by_row(lengths) -> Callable:
 def _counted_by_hash(ids: DataFrame, keys: DataFrame, n: int, tables) -> DataFrame:
     spark = ids.sparkSession
     hashed = perfect_hash(keys, n)
-    # As many partial vectors as the cluster has work slots, however many files there are.
-    few = ids.coalesce(4 * spark.sparkContext.defaultParallelism)
+    # Partial vectors follow the cluster's size, however many files there are.
+    slots = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    few = ids.coalesce(slots)
     parts = few.mapInArrow(_vector(tables[0], spark.sparkContext.broadcast(hashed)), schema("long"))
     counts = np.zeros(-(-n // BLOCK) * BLOCK, dtype=np.int64)
     for row in tree_sum(parts, "long").toLocalIterator():
