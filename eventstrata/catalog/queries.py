@@ -765,10 +765,15 @@ def _finish(stream) -> None:
     stream.awaitTermination()
 
 
+def _files_per_trigger(x: Layers) -> int:
+    """Eight files, as long as the landed ones are few."""
+    return streams.files_to_catch_up(x.spark, x.files, 8)
+
+
 @query
 def stream_validate(x: Layers) -> DataFrame:
     out, checkpoint = scratch_path(x.spark, "validated"), scratch_path(x.spark, "progress")
-    bronze = streams.stream_bronze(x.spark, x.files, files_per_trigger=8)
+    bronze = streams.stream_bronze(x.spark, x.files, files_per_trigger=_files_per_trigger(x))
     rows = streams.stream_validated(bronze).select(
         "event_id", "order_id", "event_type", "event_time", "ingested_at", "reject_reason"
     )
@@ -779,7 +784,7 @@ def stream_validate(x: Layers) -> DataFrame:
 @query
 def stream_dedup(x: Layers) -> DataFrame:
     silver, seen, expired = (scratch_path(x.spark, n) for n in ("silver", "seen", "expired"))
-    rows = streams.stream_valid(x.spark, x.files, files_per_trigger=8)
+    rows = streams.stream_valid(x.spark, x.files, files_per_trigger=_files_per_trigger(x))
     handler = streams.deduplicate_batches(silver, seen, expired, HORIZON_DAYS)
     _finish(streams.each_batch(rows, handler, scratch_path(x.spark, "progress")))
     return x.spark.read.parquet(silver).select(*C.SEMANTIC_KEY)

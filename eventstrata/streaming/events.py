@@ -19,6 +19,22 @@ from eventstrata.sinks.tables import write_scan_order
 from eventstrata.sources.lines import land_rows, payload_lines, relative_file
 from eventstrata.streaming.batches import BatchTable, batch_folder
 
+# A backlog is caught up in at most so many micro-batches.
+MOST_BATCHES = 8
+
+
+def files_to_catch_up(spark: SparkSession, path: str, least: int) -> int:
+    """Files per micro-batch for a folder whose files all wait already: ``least``, or more for a long backlog.
+
+    A micro-batch costs a fixed time and reads the stored index within the horizon again, so
+    with a fixed number of files the cost of a backlog grows with the square of its length.
+    In at most ``MOST_BATCHES`` parts every part grows with the backlog, and both costs are in
+    proportion to it. Each part is an ordinary Spark job, which may spill.
+    """
+    waiting = len(spark.read.text(path).inputFiles())
+    return max(least, -(-waiting // MOST_BATCHES))
+
+
 def stream_bronze(
     spark: SparkSession,
     path: str,

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from eventstrata.catalog import queries
 from eventstrata.config import SEMANTIC_KEY
 from eventstrata.operators.compare import membership_differences
 from eventstrata.session import scratch_path
@@ -201,3 +203,26 @@ def test_compaction_that_breaks_off_loses_nothing(spark, tmp_path, monkeypatch):
     assert table.before(4).count() == 12
     with pytest.raises(ValueError, match="at least two"):
         BatchTable(spark, table.path, rows.schema, 1)
+
+
+def many_small_files(spark, path):
+    """An events table of 40 rows that land in 40 files; a multiple of 29 and of 50 is sent again."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(4096 * i, start + dt.timedelta(hours=i), i, "view", float(i * 7 % 300)) for i in range(40)]
+    table = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+    table.coalesce(1).write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+def batches_of(files):
+    return {f.split("batch_id=")[1].split("/")[0] for f in files}
+
+
+def test_a_backlog_of_small_files_takes_a_bounded_number_of_deduplications(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "MOST_BATCHES", 2)
+    source = many_small_files(spark, tmp_path / "sf")
+    found = queries.REGISTRY["stream_dedup"](spark, source)
+    assert len(batches_of(found.inputFiles())) == 2
+    batch = queries.Layers(spark, source).silver
+    assert found.count() == batch.count() > 30
+    assert membership_differences(found, batch, SEMANTIC_KEY).count() == 0
