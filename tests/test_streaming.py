@@ -226,3 +226,12 @@ def test_a_backlog_of_small_files_takes_a_bounded_number_of_deduplications(spark
     batch = queries.Layers(spark, source).silver
     assert found.count() == batch.count() > 30
     assert membership_differences(found, batch, SEMANTIC_KEY).count() == 0
+
+
+def test_a_backlog_of_small_files_is_routed_in_a_bounded_number_of_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "MOST_BATCHES", 2)
+    source = many_small_files(spark, tmp_path / "sf")
+    found = queries.REGISTRY["late_side_output"](spark, source)
+    assert len(batches_of(found.inputFiles())) == 2
+    assert found.count() == queries.Layers(spark, source).typed.count() > 30
+    assert {r["side"] for r in found.select("side").distinct().collect()} == {"on time", "late"}
