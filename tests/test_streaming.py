@@ -235,3 +235,26 @@ def test_a_backlog_of_small_files_is_routed_in_a_bounded_number_of_batches(spark
     assert len(batches_of(found.inputFiles())) == 2
     assert found.count() == queries.Layers(spark, source).typed.count() > 30
     assert {r["side"] for r in found.select("side").distinct().collect()} == {"on time", "late"}
+
+
+def test_a_backlog_of_small_files_reaches_the_state_in_a_bounded_number_of_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "MOST_BATCHES", 2)
+    handled = []
+
+    def combine(path):
+        handle = combine_batches(path)
+
+        def counted(rows, batch_id):
+            handled.append(batch_id)
+            handle(rows, batch_id)
+
+        return counted
+
+    combine_batches = state.combine_batches
+    monkeypatch.setattr(state, "combine_batches", combine)
+    source = many_small_files(spark, tmp_path / "sf")
+    found = queries.REGISTRY["stream_dedup_state"](spark, source)
+    assert handled == [0, 1]
+    batch = queries.Layers(spark, source).silver
+    assert found.count() == batch.count() > 30
+    assert membership_differences(found, batch, SEMANTIC_KEY).count() == 0
