@@ -218,8 +218,8 @@ def _chains(how: Passages):
             stops = np.r_[starts[1:], len(at)]
             names = [numbers(rows, c)[at] for c in PAIR]
             anchored = width > how.seed
-            # A passage has an anchor, or two seeds or more.
-            many = (stops - starts > 1) | np.logical_or.reduceat(anchored, starts)
+            # A passage has an anchor, two seeds or more, or a place whose surroundings were compared.
+            many = (stops - starts > 1) | np.logical_or.reduceat(anchored | lone[at], starts)
             out = []
             for s, e in zip(starts[many].tolist(), stops[many].tolist()):
                 # An anchor or run counts as the seeds at its two ends.
@@ -259,10 +259,10 @@ def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-FOUND = (
-    "doc_id long, sig long, start int, end int, match_doc_id long, match_start int, match_end int, "
-    "similarity double, passage_start int, passage_end int"
+ALIKE = (
+    "doc_id long, sig long, start int, end int, match_doc_id long, match_start int, match_end int, similarity double"
 )
+FOUND = f"{ALIKE}, passage_start int, passage_end int"
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -276,50 +276,252 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _arrow(schema: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in schema.split(", "))])
+
+
 def _aligned(how: Passages):
-    names = [f.split()[0] for f in FOUND.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32()]
-
-    def of_doc(rows: list[dict]) -> list[tuple]:
-        found = []
-        for r in rows:
-            chain = [(p - r["lo"], q - r["other_lo"], n) for p, q, n in zip(r["p"], r["q"], r["n"])]
-            a, b = r["codes"], r["other_codes"]
-            at, other_at = r["lo"], r["other_lo"]
-            for lo, hi, other_lo, other_hi, wrong in align(a, b, chain, how.seed, how.similarity):
-                alike = 1 - wrong / max(hi - lo, other_hi - other_lo)
-                if hi - lo >= how.least_part and alike >= how.similarity - 1e-9:
-                    found.append((lo + at, hi + at, r["other"], other_lo + other_at, other_hi + other_at, alike))
-        runs = [run for run in merged([f[:2] for f in found]) if run[1] - run[0] >= how.least]
-        out = []
-        for f in found:
-            inside = next((run for run in runs if run[0] <= f[0] and f[1] <= run[1]), None)
-            if inside:
-                out.append((rows[0]["doc"], rows[0]["sig"], *f, *inside))
-        return sorted(set(out))
+    """The alike stretches of each chain."""
+    schema = _arrow(ALIKE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, DOC):
-            starts = group_starts(table, DOC)
-            rows = table.to_pylist()
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                chain = [(p - r["lo"], q - r["other_lo"], n) for p, q, n in zip(r["p"], r["q"], r["n"])]
+                a, b = r["codes"], r["other_codes"]
+                at, other_at = r["lo"], r["other_lo"]
+                for lo, hi, other_lo, other_hi, wrong in align(a, b, chain, how.seed, how.similarity):
+                    alike = 1 - wrong / max(hi - lo, other_hi - other_lo)
+                    if hi - lo >= how.least_part and alike >= how.similarity - 1e-9:
+                        there = (r["other"], other_lo + other_at, other_hi + other_at)
+                        out.append((r["doc"], r["sig"], lo + at, hi + at, *there, alike))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    return run
+
+
+def _passages(how: Passages):
+    """The stretches that lie in a passage, with the passage; one document's rows at a time."""
+    schema = _arrow(FOUND)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["doc_id", "sig"]):
+            starts = group_starts(table, ["doc_id", "sig"])
+            rows = list(zip(*[c.to_pylist() for c in table.columns]))
             out = []
             for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(rows)]):
-                out += of_doc(rows[s:e])
+                found = sorted(set(rows[s:e]))
+                runs = [run for run in merged([f[2:4] for f in found]) if run[1] - run[0] >= how.least]
+                for f in found:
+                    inside = next((run for run in runs if run[0] <= f[2] and f[3] <= run[1]), None)
+                    if inside:
+                        out.append((*f, *inside))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    return run
+
+
+# Words around a place become bins; a word that is not there has the bin behind the last one.
+BINS = 512
+# So many places of a seed are compared with so many others at once; more are dealt over several tiles.
+TILE = 2048
+# Up to so many pairs of a tile are looked up one by one, more as a product of matrices.
+FEW_PAIRS, PAIRS_AT_ONCE = 2048, 1 << 17
+TILES = ["seed", "i", "j"]
+OPEN = "seed long, doc long, sig long, pos int, places long, open boolean, deal long, around binary"
+COMPARED = "doc long, sig long, other long, osig long, pos int, other_pos int, width int, lone boolean"
+
+
+def _slack(how: Passages) -> int:
+    """By how many words two alike stretches of the least length can shift."""
+    return int((1 - how.similarity) * how.least_part) + 1
+
+
+def _width(how: Passages) -> int:
+    """Words kept of a place's surroundings: all stretches of the least length around a seed, shifted or not."""
+    return 2 * (how.least_part + _slack(how)) - how.seed
+
+
+def surroundings(words: np.ndarray, at: np.ndarray, anchor: np.ndarray, how: Passages) -> np.ndarray:
+    """The bins of the words around each of the places ``at``, in the middle the seed or anchor itself."""
+    size = _width(how)
+    bins = np.full(len(words) + 2 * size, BINS, dtype=np.uint16)
+    bins[size : size + len(words)] = words % np.uint64(BINS)
+    first = at + size - np.where(anchor, (size - how.anchor) // 2, (size - how.seed) // 2)
+    return bins[first[:, None] + np.arange(size)]
+
+
+def _surroundings(how: Passages):
+    """A row per wanted place with what stands around it; ``deal`` numbers the rows of a task."""
+    size = 2 * _width(how)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealt = 0
+        for batch in batches:
+            wanted = batch.column("wanted")
+            owner = np.repeat(np.arange(batch.num_rows), wanted.value_lengths().to_numpy(zero_copy_only=False))
+            if not len(owner):
+                continue
+            fields = wanted.flatten()
+            seed, at = (fields.field(c) for c in ("seed", "pos"))
+            anchor, pos = seed.to_numpy() % 2 != 0, at.to_numpy()
+            edges = np.searchsorted(owner, np.arange(batch.num_rows + 1)).tolist()
+            around = []
+            for text, s, e in zip(text_bytes(batch.column("text")), edges, edges[1:]):
+                around.append(surroundings(word_hashes((text or b"").split()), pos[s:e], anchor[s:e], how))
+            ends = np.arange(len(owner) + 1, dtype=np.int32) * size
+            data = np.concatenate(around).astype("<u2").tobytes()
+            around = pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+            deal = pa.array(np.arange(dealt, dealt + len(owner)))
+            dealt += len(owner)
+            ids = [batch.column(c).take(pa.array(owner)) for c in DOC]
+            more = [fields.field(c) for c in ("places", "open")]
+            columns = [seed, *ids, at, *more, deal, around]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in OPEN.split(", ")])
 
     return run
 
 
+def alike_pairs(
+    bins: np.ndarray, group: np.ndarray, left: np.ndarray, right: np.ndarray, slack: int, least: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one group, from ``left`` and ``right``, with ``least`` words in common or more.
+
+    Counted are the words of the left row, without ``slack`` at its two ends, whose bin the
+    right row has: never fewer than an alignment of the two can match. Every pair is looked
+    at; memory is one block of them.
+    """
+    inner = bins[:, slack : bins.shape[1] - slack]
+    there = np.zeros((len(bins), BINS + 1), dtype=bool)
+    there[np.arange(len(bins))[:, None], bins] = True
+    there[:, BINS] = False
+    n = int(group[-1]) + 1
+    n_left, n_right = np.bincount(group[left], minlength=n), np.bincount(group[right], minlength=n)
+    from_left, from_right = np.cumsum(n_left) - n_left, np.cumsum(n_right) - n_right
+    many = n_left * n_right > FEW_PAIRS
+    for g in np.flatnonzero(many).tolist():
+        b = right[from_right[g] : from_right[g] + n_right[g]]
+        theirs = there[b].T.astype(np.float32)
+        for at in range(from_left[g], from_left[g] + n_left[g], TILE):
+            a = left[at : min(at + TILE, from_left[g] + n_left[g])]
+            ours = np.zeros((len(a), BINS + 1), dtype=np.float32)
+            np.add.at(ours, (np.arange(len(a))[:, None], inner[a]), 1)
+            x, y = np.nonzero(ours @ theirs >= least)
+            yield a[x], b[y]
+    rows = left[~many[group[left]]]
+    per_row = n_right[group[rows]]
+    block = np.cumsum(per_row) // PAIRS_AT_ONCE
+    for k in np.unique(block).tolist():
+        some = rows[block == k]
+        count = n_right[group[some]]
+        a = np.repeat(some, count)
+        skip = np.repeat(np.cumsum(count) - count, count)
+        b = right[np.repeat(from_right[group[some]], count) + np.arange(len(a)) - skip]
+        common = there[b[:, None], inner[a]].sum(axis=1)
+        yield a[common >= least], b[common >= least]
+
+
+def alike_around(bins: np.ndarray, a: np.ndarray, b: np.ndarray, how: Passages) -> np.ndarray:
+    """Which pairs of rows have a stretch of the least length with enough words in common.
+
+    A word of the left row counts if the right row has it where it stands or shifted by up
+    to the slack, so again never fewer are counted than an alignment can match.
+    """
+    slack, length = _slack(how), how.least_part
+    size = bins.shape[1] - 2 * slack
+    least = int(np.ceil(how.similarity * length - 1e-9))
+    out = np.zeros(len(a), dtype=bool)
+    for at in range(0, len(a), 1 << 15):
+        ours, theirs = bins[a[at : at + (1 << 15)], slack : slack + size], bins[b[at : at + (1 << 15)]]
+        hit = np.zeros(ours.shape, dtype=bool)
+        for shift in range(2 * slack + 1):
+            hit |= ours == theirs[:, shift : shift + size]
+        hit &= ours != BINS
+        total = np.zeros((len(ours), size + 1), dtype=np.int16)
+        np.cumsum(hit, axis=1, out=total[:, 1:])
+        out[at : at + len(ours)] = (total[:, length:] - total[:, :-length] >= least).any(axis=1)
+    return out
+
+
+def _compared(how: Passages):
+    """Matches of open places with all places of earlier documents that have alike surroundings."""
+    schema = pa.schema([*_arrow(COMPARED.rsplit(", ", 1)[0]), ("lone", pa.bool_())])
+    least = int(np.ceil(how.similarity * how.least_part - 1e-9))
+    size = _width(how)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, TILES):
+            bins = np.frombuffer(b"".join(table.column("around").to_pylist()), dtype="<u2").reshape(-1, size)
+            first = np.zeros(table.num_rows, dtype=np.int64)
+            first[group_starts(table, TILES)] = 1
+            group = np.cumsum(first) - 1
+            seed, doc, sig, pos, i, j, block, is_open = (
+                numbers(table, c) for c in ("seed", "doc", "sig", "pos", "i", "j", "block", "open")
+            )
+            left, right = np.flatnonzero(is_open & (i == block)), np.flatnonzero(j == block)
+            if not len(left) or not len(right):
+                continue
+            for a, b in alike_pairs(bins, group, left, right, _slack(how), least):
+                earlier = (doc[b] < doc[a]) | (doc[b] == doc[a]) & (sig[b] < sig[a])
+                a, b = a[earlier], b[earlier]
+                close = alike_around(bins, a, b, how)
+                a, b = a[close], b[close]
+                if len(a):
+                    width = np.where(seed[a] % 2 != 0, how.anchor, how.seed)
+                    columns = [doc[a], sig[a], doc[b], sig[b], pos[a], pos[b], width, np.ones(len(a), dtype=bool)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    return run
+
+
+def _rest(texts: DataFrame, linked: DataFrame, found: DataFrame, how: Passages) -> DataFrame:
+    """Matches with all further places of the seeds that are linked to their first place only.
+
+    Left out are places inside a passage already found, and seeds in two places, whose link
+    is the only one there is. An open place is compared with every place of its seed in
+    earlier documents; a match is one whose surroundings have a stretch of ``how.least_part``
+    words with as many in common as an alike stretch of that length needs. That is quadratic in the open places of a seed, in tiles
+    that tasks share.
+    """
+    covers = found.select(F.col("doc_id").alias("doc"), "sig", "passage_start", "passage_end").distinct()
+    covers = covers.groupBy(*DOC).agg(F.collect_list(F.struct("passage_start", "passage_end")).alias("covers"))
+    inside = F.expr(
+        f"exists(covers, c -> c.passage_start <= pos and pos + if(seed % 2 <> 0, {how.anchor}, {how.seed}) <= c.passage_end)"
+    )
+    crowded = linked.where("places > 2").join(covers.hint("merge"), DOC, "left")
+    later = F.expr("doc <> other or sig <> osig")
+    flagged = crowded.select("seed", *DOC, "pos", "places", (later & ~F.coalesce(inside, F.lit(False))).alias("open"))
+    asked = flagged.where("open").select("seed").distinct()
+    wanted = flagged.join(asked.hint("merge"), "seed", "left_semi")
+    by_doc = wanted.groupBy(*DOC).agg(F.collect_set(F.struct("seed", "pos", "places", "open")).alias("wanted"))
+    one_text = texts.join(by_doc.hint("merge"), DOC).select(*DOC, "text", "wanted")
+    places = one_text.mapInArrow(_surroundings(how), OPEN)
+    blocks = F.ceil(F.col("places") / TILE).cast("int")
+    places = places.withColumn("blocks", blocks).withColumn("block", F.expr("cast(deal % blocks as int)"))
+    tiles = F.expr(
+        "array_union(if(open, transform(sequence(0, blocks - 1), x -> struct(block as i, x as j)), array()), "
+        "transform(sequence(0, blocks - 1), x -> struct(x as i, block as j)))"
+    )
+    dealt = places.select("seed", *DOC, "pos", "open", "block", "around", F.explode(tiles).alias("tile"))
+    dealt = dealt.select("*", "tile.i", "tile.j").drop("tile").repartition(*TILES).sortWithinPartitions(*TILES)
+    return dealt.mapInArrow(_compared(how), COMPARED)
+
+
 def repeated_passages(documents: DataFrame, how: Passages = Passages()) -> DataFrame:
     """Passages that a document shares with one of a smaller doc_id, exact or fuzzy.
 
     One row per aligned chain, or per alike stretch of a chain that is not alike as a whole: doc_id, start, end (word offsets, end exclusive),
     match_doc_id, match_start, match_end, similarity, and the passage it belongs to
     (passage_start, passage_end): overlapping chains of a document unite, and a passage has
-    at least ``how.least`` words. Each seed is linked to its first place only, so a
+    at least ``how.least`` words. Each seed is linked to its first place first, so a
     passage in a third of all documents gives one row per document, not all pairs; the
-    first document appears as match_doc_id. Short seeds are often phrases that some earlier
+    first document appears as match_doc_id. What is not inside a passage then is compared with
+    all further places of its seeds, so a fuzzy passage whose seeds all occur in earlier
+    documents of their own is found as well. Short seeds are often phrases that some earlier
     document has as well, the more so the larger the corpus; anchors are longer, and an
     exact run of anchor + anchor_window - 1 words always has one. Where three places or more
     share a run's anchors, their first place need not hold the whole run: every such run of
@@ -349,18 +551,32 @@ def _found(documents: DataFrame, signature: Column, how: Passages) -> DataFrame:
     texts = texts.where("doc is not null")
     seeds = texts.where("text is not null").mapInArrow(_seeds(how), SEED)
     shared = stage(_first_places(seeds), scratch_path(spark, "shared"))
+    linked = stage(seeds.join(shared, "seed"), scratch_path(spark, "linked"))
 
-    def links(seeds: DataFrame, shared: DataFrame, width: Column) -> DataFrame:
-        linked = seeds.join(shared, "seed").where("doc <> other or sig <> osig")
+    def links(linked: DataFrame, width: Column) -> DataFrame:
         lone = (F.col("seed") % 2 != 0) & (F.col("places") == 2)
-        return linked.select(*PAIR, "pos", "other_pos", width.alias("width"), lone.alias("lone"))
+        others = linked.where("doc <> other or sig <> osig")
+        return others.select(*PAIR, "pos", "other_pos", width.alias("width"), lone.alias("lone"))
 
-    matches = links(seeds, shared, F.when(F.col("seed") % 2 != 0, how.anchor).otherwise(how.seed))
+    matches = links(linked, F.when(F.col("seed") % 2 != 0, how.anchor).otherwise(how.seed))
     bits = _crowded(shared)
     if bits is not None:
         runs = texts.where("text is not null").mapInArrow(_runs(how, bits), SEED)
-        matches = matches.unionByName(links(runs, _first_places(runs), F.lit(how.least)))
-    dealt = matches.repartition(*DOC).sortWithinPartitions(*PAIR, "pos", "other_pos")
+        matches = matches.unionByName(links(runs.join(_first_places(runs), "seed"), F.lit(how.least)))
+    alike = stage(_alike(texts, matches, DOC, how), scratch_path(spark, "alike"))
+
+    def passages(alike: DataFrame) -> DataFrame:
+        key = ["doc_id", "sig"]
+        return alike.repartition(*key).sortWithinPartitions(*key).mapInArrow(_passages(how), FOUND)
+
+    rest = _alike(texts, _rest(texts, linked, passages(alike), how), PAIR, how)
+    return passages(alike.unionByName(rest))
+
+
+def _alike(texts: DataFrame, matches: DataFrame, whole: list[str], how: Passages) -> DataFrame:
+    """The alike stretches of the matches' chains; matches of equal ``whole`` are seen together."""
+    spark = texts.sparkSession
+    dealt = matches.repartition(*whole).sortWithinPartitions(*PAIR, "pos", "other_pos")
     chained = stage(dealt.mapInArrow(_chains(how), CHAINS), scratch_path(spark, "chains"))
 
     def as_other(rows: DataFrame) -> DataFrame:
@@ -374,7 +590,7 @@ def _found(documents: DataFrame, signature: Column, how: Passages) -> DataFrame:
     # One row per region before it is written: the joins below then split hot regions.
     regions = stage(regions.dropDuplicates([*DOC, "lo", "hi"]), scratch_path(spark, "regions"))
     both = chained.join(as_other(regions), OTHER[:4]).join(regions, [*DOC, "lo", "hi"])
-    return both.repartition(*DOC).sortWithinPartitions(*DOC, "other", "osig").mapInArrow(_aligned(how), FOUND)
+    return both.repartition(*PAIR).mapInArrow(_aligned(how), ALIKE)
 
 
 def without_passages(text: Column, spans: Column) -> Column:

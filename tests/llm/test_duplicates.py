@@ -219,6 +219,61 @@ def test_passage_whose_anchors_all_occur_earlier(spark):
     assert found == {(1001, 1000, 9, 69), (2001, 2000, 4, 54)}
 
 
+@pytest.mark.parametrize("before", [3, 12])
+def test_fuzzy_passage_whose_seeds_all_occur_earlier(spark, before):
+    """Every seed of both copies is a phrase of earlier documents of its own, so no first place is the copy."""
+    rng = random.Random(7)
+
+    def noise(n):
+        return [f"n{rng.randrange(10**9)}" for _ in range(n)]
+
+    passage = noise(60)
+    copy = [w if i % 9 != 8 else noise(1)[0] for i, w in enumerate(passage)]
+    rows = [(i, noise(20) + passage[i // before : i // before + 5] + noise(20)) for i in range(before * 56)]
+    rows += [(900, noise(30) + passage[:5] + noise(40) + passage + noise(30)), (901, noise(9) + copy + noise(50))]
+    rows += [(902, passage[:14] + noise(80)), (903, noise(50) + passage[20:36] + noise(50))]
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    found = {(r["doc_id"], r["match_doc_id"], r["start"], r["end"]) for r in substrings.repeated_passages(table).collect()}
+    assert found == {(901, 900, 9, 69)}
+
+
+def test_passage_at_the_second_place_of_the_first_document(spark):
+    rng = random.Random(13)
+
+    def noise(n):
+        return [f"n{rng.randrange(10**9)}" for _ in range(n)]
+
+    passage = noise(60)
+    # Twelve times, each in other words, so that each phrase is a kept seed somewhere.
+    phrases = [w for i in range(12 * 56) for w in [*passage[i // 12 : i // 12 + 5], *noise(9)]]
+    copy = [w if i % 9 != 8 else noise(1)[0] for i, w in enumerate(passage)]
+    rows = [(0, phrases + noise(40) + passage + noise(30)), (1, noise(9) + copy + noise(50))]
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    found = {(r["doc_id"], r["match_start"], r["start"], r["end"]) for r in substrings.repeated_passages(table).collect()}
+    assert found == {(1, len(phrases) + 40, 9, 69)}
+
+
+@pytest.mark.parametrize("few", [0, 10**9])
+def test_alike_pairs_are_those_of_all_pairs(monkeypatch, few):
+    monkeypatch.setattr(substrings, "FEW_PAIRS", few)
+    monkeypatch.setattr(substrings, "TILE", 7)
+    monkeypatch.setattr(substrings, "PAIRS_AT_ONCE", 50)
+    rng = np.random.default_rng(4)
+    bins = rng.integers(0, 30, (60, 16)).astype(np.uint16)
+    bins[rng.random((60, 16)) < 0.1] = substrings.BINS
+    group = np.sort(rng.integers(0, 4, 60))
+    group = np.unique(group, return_inverse=True)[1]
+    left, right = (np.flatnonzero(rng.random(60) < share) for share in (0.5, 0.7))
+    wanted = set()
+    for a in left.tolist():
+        for b in right.tolist():
+            there = set(bins[b].tolist()) - {substrings.BINS}
+            if group[a] == group[b] and sum(w in there for w in bins[a, 3:13].tolist()) >= 5:
+                wanted.add((a, b))
+    found = [pair for a, b in substrings.alike_pairs(bins, group, left, right, 3, 5) for pair in zip(a.tolist(), b.tolist())]
+    assert len(found) == len(wanted) and set(found) == wanted
+
+
 def test_every_exact_run_of_fifty_words_has_an_anchor():
     rng = np.random.default_rng(2)
     how = substrings.Passages()
