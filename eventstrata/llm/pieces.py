@@ -52,7 +52,7 @@ class PieceTransducer:
         self.score = {p.piece: p.score for p in proto.pieces if p.type == NORMAL}
         self.byte = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.kind = [p.type for p in proto.pieces]
-        self.raw = {i: b for b, i in self.byte.items()}
+        self.raw = [self.bytes_of(i) for i in range(len(self.pieces))]
         if any(SPACE in p.lstrip(SPACE) for p in self.score):
             raise ValueError("a piece has a space mark after another character")
         unigram = kind == UNIGRAM
@@ -68,6 +68,12 @@ class PieceTransducer:
         self.known: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
 
+    def bytes_of(self, piece: int) -> bytes:
+        """What a piece decodes to; control pieces to nothing."""
+        if self.kind[piece] == BYTE:
+            return bytes([int(self.pieces[piece][3:5], 16)])
+        return {NORMAL: self.pieces[piece], UNKNOWN: " ⁇ "}.get(self.kind[piece], "").encode("utf-8")
+
     def merged(self, text: str) -> list[str]:
         """Merge characters by score, best first and leftmost at ties."""
         parts = list(text)
@@ -153,14 +159,7 @@ class PieceTransducer:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes are joined, broken ones replaced, the first space dropped."""
-        raw = bytearray()
-        for i in ids:
-            if self.kind[i] == BYTE:
-                raw.append(self.raw[i])
-            elif self.kind[i] == NORMAL:
-                raw += self.pieces[i].encode("utf-8")
-            elif self.kind[i] == UNKNOWN:
-                raw += " ⁇ ".encode()
+        raw = b"".join(map(self.raw.__getitem__, ids))
         text = raw.decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 

@@ -120,3 +120,12 @@ def test_other_models_are_refused(unigram, tmp_path):
         pieces.PieceTransducer(str(tmp_path / "words.model"))
     with pytest.raises(ValueError, match="reads what"):
         transducers.rewriting(transducers.Machine([(0, NONE, 95, 0.0, 1), (1, 32, 95, 0.0, 1), (1, 95, 32, 0.0, 1)], 2))
+
+
+def test_decoding_joins_bytes_across_pieces():
+    machine = pieces.transducer(MODEL)
+    letter, first, second = machine.encode("a")[-1], *(machine.byte[b] for b in "é".encode())
+    unknown, control = machine.kind.index(pieces.UNKNOWN), machine.kind.index(3)
+    assert machine.decode([first, second, letter]) == "é" + machine.pieces[letter].replace(pieces.SPACE, " ")
+    assert machine.decode([second, first, unknown, control, first, second]) == "\ufffd\ufffd ⁇ é"
+    assert machine.decode([]) == ""
