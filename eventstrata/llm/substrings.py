@@ -35,28 +35,58 @@ class Passages:
     reach: int = 80  # words between matches on one diagonal that a fragment bridges
 
 
-def least_of_windows(seeds: np.ndarray, window: int, width: int) -> np.ndarray:
-    """Positions of the least of every ``window`` neighbouring hashes of ``width`` words.
+def least_places(hashes: np.ndarray, span: int) -> np.ndarray:
+    """Where the least of every ``span`` neighbouring hashes is, the first of equal ones."""
+    at, step = np.arange(len(hashes)), 1
 
-    The choice depends only on the words nearby, so equal runs keep equal seeds. Of a run of
-    overlapping equal seeds the first is kept.
+    def lesser(shift: int, count: int) -> np.ndarray:
+        a, b = at[:count], at[shift : shift + count]
+        return np.where(hashes[b] < hashes[a], b, a)
+
+    while 2 * step <= span:
+        at = lesser(step, len(at) - step)
+        step *= 2
+    return lesser(span - step, len(at) - span + step) if span > step else at
+
+
+def least_of_windows(hashes: np.ndarray, first: np.ndarray, count: np.ndarray, window: int, width: int) -> np.ndarray:
+    """Positions of the least of every ``window`` neighbouring hashes of ``width`` words of a text.
+
+    ``first`` and ``count`` say which hashes are a text's. The choice depends only on the
+    words nearby, so equal runs keep equal seeds. Of a run of overlapping equal seeds the
+    first is kept.
     """
-    if not len(seeds):
-        return np.zeros(0, dtype=np.int64)
-    span = min(window, len(seeds))
-    least = np.lib.stride_tricks.sliding_window_view(seeds, span).argmin(axis=1)
-    at = np.unique(least + np.arange(len(least)))
-    chosen = seeds[at]
-    return at[np.r_[True, (chosen[1:] != chosen[:-1]) | (np.diff(at) > width)]]
+    chosen, begins = np.zeros(len(hashes), dtype=bool), np.zeros(len(hashes), dtype=bool)
+    long = count >= window
+    if long.any():
+        chosen[least_places(hashes, window)[_ranges(first[long], count[long] - window + 1)]] = True
+    for s, n in zip(first[~long & (count > 0)].tolist(), count[~long & (count > 0)].tolist()):
+        chosen[s + hashes[s : s + n].argmin()] = True
+    begins[first[count > 0]] = True
+    at = np.flatnonzero(chosen)
+    text = np.cumsum(begins)[at]
+    new = (np.diff(hashes[at]) != 0) | (np.diff(at) > width) | (np.diff(text) != 0)
+    return at[np.r_[True, new]] if len(at) else at
+
 
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers from each of ``first`` on, ``count`` of them."""
+    return np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
 
-def kept_seeds(words: np.ndarray, how: Passages) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, keys) of a text's seeds and anchors; a key's lowest bit marks an anchor."""
+
+def kept_seeds(words: np.ndarray, how: Passages, sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, keys) of the seeds and anchors of texts with ``sizes`` words, one after the other.
+
+    A key's lowest bit marks an anchor; positions are those in all the words.
+    """
+    sizes = np.array([len(words)]) if sizes is None else sizes
+    first = np.cumsum(sizes) - sizes
     positions, keys = [], []
     for mark, width, window in ((0, how.seed, how.window), (1, how.anchor, how.anchor_window)):
         hashes = window_hashes(words, width)
-        at = least_of_windows(hashes, window, width)
-        positions.append(at.astype(np.int32))
+        some = sizes >= width
+        at = least_of_windows(hashes, first[some], sizes[some] - width + 1, window, width)
+        positions.append(at)
         keys.append(hashes[at] & ~np.uint64(1) | np.uint64(mark))
     return np.concatenate(positions), np.concatenate(keys)
 
@@ -66,67 +96,77 @@ DOC = ["doc", "sig"]
 SEED = "seed long, doc long, sig long, pos int"
 
 
-def _seed_rows(batch: pa.RecordBatch, found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """One row per (seed, position) of each document of a batch."""
-    if found:
-        owner = pa.array(np.repeat(np.arange(len(found)), [len(at) for _, at in found]))
-        seed, pos = (pa.array(np.concatenate(x)) for x in zip(*found))
-        doc, sig = (batch.column(c).take(owner) for c in DOC)
-        yield pa.RecordBatch.from_arrays([seed, doc, sig, pos], names=["seed", *DOC, "pos"])
+# Texts are hashed together until they have so many words.
+WORDS_AT_ONCE = 1 << 17
 
 
-def _seeds(how: Passages):
+def _hashed(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, number of words per row, hashes of all their words) of some rows at a time."""
+    words, sizes, start = [], [], 0
+    for at, text in enumerate(text_bytes(batch.column("text")), 1):
+        split = (text or b"").split()
+        words += split
+        sizes.append(len(split))
+        if len(words) >= WORDS_AT_ONCE or at == batch.num_rows:
+            yield start, np.array(sizes, dtype=np.int64), word_hashes(words)
+            words, sizes, start = [], [], at
+
+
+def _rows_of(choose):
+    """One row per (seed, position) of each document; ``choose`` finds them in the words of several texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for text in text_bytes(batch.column("text")):
-                at, keys = kept_seeds(word_hashes((text or b"").split()), how)
-                found.append((keys.view(np.int64), at))
-            yield from _seed_rows(batch, found)
+            for start, sizes, words in _hashed(batch):
+                at, keys = choose(words, sizes)
+                ends = np.cumsum(sizes)
+                row = np.searchsorted(ends, at, side="right")
+                pos = (at - (ends - sizes)[row]).astype(np.int32)
+                doc, sig = (batch.column(c).take(pa.array(row + start)) for c in DOC)
+                columns = [pa.array(keys.view(np.int64)), doc, sig, pa.array(pos)]
+                yield pa.RecordBatch.from_arrays(columns, names=["seed", *DOC, "pos"])
 
     return run
 
 
+def _seeds(how: Passages):
+    return _rows_of(lambda words, sizes: kept_seeds(words, how, sizes))
+
+
 # Slots for anchors that more than two places share; once they are full every run is joined.
 SLOTS = 1 << 26
 
 
-def crowded_runs(words: np.ndarray, bits: np.ndarray, how: Passages) -> np.ndarray:
+def crowded_runs(words: np.ndarray, bits: np.ndarray, how: Passages, sizes: np.ndarray) -> np.ndarray:
     """Starts of the runs of ``how.least`` words whose every sure anchor is marked in ``bits``.
 
     A run's sure anchors are the least of the anchor windows inside it, which every copy of
     the run keeps as well. If one of them is in two places only, its link is the run's only
-    possible partner; the other runs are those returned.
+    possible partner; the other runs are those returned. Texts of ``sizes`` words follow one another.
     """
+    long = sizes >= how.least
+    if not long.any():
+        return np.zeros(0, dtype=np.int64)
     anchors = window_hashes(words, how.anchor)
     inside = how.least - how.anchor - how.anchor_window + 2
-    if len(words) < how.least:
-        return np.zeros(0, dtype=np.int64)
-    at = np.lib.stride_tricks.sliding_window_view(anchors, how.anchor_window).argmin(axis=1) + np.arange(
-        len(anchors) - how.anchor_window + 1
-    )
-    slot = (anchors[at] >> np.uint64(1)) % np.uint64(SLOTS)
-    marked = bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1
-    return np.flatnonzero(np.lib.stride_tricks.sliding_window_view(marked, inside).all(axis=1))
+    slot = (anchors >> np.uint64(1)) % np.uint64(SLOTS)
+    crowded = bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1
+    marked = crowded[least_places(anchors, how.anchor_window)]
+    starts = _ranges((np.cumsum(sizes) - sizes)[long], sizes[long] - how.least + 1)
+    every = marked[starts] != 0
+    for i in range(1, inside):
+        every &= marked[starts + i] != 0
+    return starts[every]
 
 
 def _runs(how: Passages, bits: np.ndarray):
     """Hashes of the crowded runs, in the form of seeds."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for text in text_bytes(batch.column("text")):
-                words = word_hashes((text or b"").split())
-                at = crowded_runs(words, bits, how)
-                hashes = np.zeros(0, dtype=np.uint64)
-                if len(at):
-                    # Only the part of the text from the first run to the last is hashed.
-                    hashes = window_hashes(words[at[0] : at[-1] + how.least], how.least)[at - at[0]]
-                found.append((hashes.view(np.int64), at.astype(np.int32)))
-            yield from _seed_rows(batch, found)
+    def choose(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = crowded_runs(words, bits, how, sizes)
+        return at, window_hashes(words, how.least, at)
 
-    return run
+    return _rows_of(choose)
 
 
 def _first_places(seeds: DataFrame) -> DataFrame:

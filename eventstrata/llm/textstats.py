@@ -15,14 +15,14 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(crc32, words), dtype=np.uint64, count=len(words))
 
 
-def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit hash of every run of ``width`` words; empty if there are fewer words."""
+def window_hashes(words: np.ndarray, width: int, at: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of every run of ``width`` words, or of those ``at``; empty if there are fewer words."""
     n = len(words) - width + 1
     if n < 1:
         return np.zeros(0, dtype=np.uint64)
-    mixed = np.zeros(n, dtype=np.uint64)
+    mixed = np.zeros(n if at is None else len(at), dtype=np.uint64)
     for i in range(width):
-        mixed = (mixed ^ words[i : i + n]) * MIX
+        mixed = (mixed ^ (words[i : i + n] if at is None else words[at + i])) * MIX
         mixed ^= mixed >> np.uint64(29)
     return mixed
 
