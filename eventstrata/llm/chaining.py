@@ -189,8 +189,8 @@ def alike_stretches(
     A stretch is alike if its edits are at most 1 - similarity of its words on the longer
     side. None lies within another, but they may overlap; every exact run is in one.
     """
-    if not exact:
-        return []
+    if len(exact) < 2:
+        return [(0, 0, 0)] * len(exact)
     p, q, n = np.array(exact).T
     wrong = [edits(a[p[i] + n[i] : p[i + 1]], b[q[i] + n[i] : q[i + 1]]) for i in range(len(n) - 1)]
     wrong = np.r_[0, np.cumsum(wrong, dtype=np.int64)].astype(np.int64)
@@ -251,29 +251,142 @@ def extend(a: str, b: str) -> tuple[int, int, int]:
     return same + top[1], same + top[2], top[3]
 
 
+# Starts are extended side by side, so many pairs at once; diagonals followed to either side of the main one.
+AT_ONCE, DIAGONALS = 2048, 24
+# Score of a cell that is not followed; columns are numbered below RANK in the keys of running maxima.
+DEAD, RANK = -(1 << 20), 1 << 6
+
+
+def extend_all(pairs: list[tuple[str, str]]) -> list[tuple[int, int, int]]:
+    """``extend`` of many pairs of strings.
+
+    Rows of all pairs are computed together, a column per diagonal. A pair whose cells reach
+    the outermost diagonals is extended by itself.
+    """
+    found: list[tuple[int, int, int]] = []
+    for at in range(0, len(pairs), AT_ONCE):
+        some = pairs[at : at + AT_ONCE]
+        same = [_common(a, b) for a, b in some]
+        rest = [(a[n:], b[n:]) for (a, b), n in zip(some, same)]
+        open_ends = [i for i, (a, b) in enumerate(rest) if a and b]
+        ends = [(n, n, 0) for n in same]
+        for i, end in zip(open_ends, _extend_rows([rest[i] for i in open_ends])):
+            n = same[i]
+            ends[i] = (n + end[0], n + end[1], end[2]) if end else extend(*some[i])
+        found += ends
+    return found
+
+
+def _letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The letters of all texts, where each text begins and how long it is."""
+    size = np.array([len(t) for t in texts], dtype=np.int64)
+    return np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4"), np.cumsum(size) - size, size
+
+
+def _extend_rows(pairs: list[tuple[str, str]]) -> list[tuple[int, int, int] | None]:
+    """(words of a, words of b, edits) per pair of filled strings; None where a band of DIAGONALS is too narrow."""
+    out: list[tuple[int, int, int] | None] = [(0, 0, 0)] * len(pairs)
+    if not pairs:
+        return out
+    letters_a, begin_a, size_a = _letters([a for a, _ in pairs])
+    letters_b, begin_b, size_b = _letters([b for _, b in pairs])
+    column = np.arange(2 * DIAGONALS + 1, dtype=np.int32)
+    shift = column - DIAGONALS
+    pair = np.arange(len(pairs))
+    # Row 0: cells 0 to X_DROP of b, all inserted.
+    inside = (shift >= 0) & (shift <= X_DROP) & (shift <= size_b[:, None])
+    score = np.where(inside, -shift, DEAD).astype(np.int32)
+    wrong = np.where(inside, shift, 0).astype(np.int32)
+    # Score, words of a and b, edits.
+    top = np.zeros((len(pairs), 4), dtype=np.int64)
+    i = 0
+    while len(pair):
+        i += 1
+        place = i + shift
+        floor = top[:, 0] - X_DROP
+        last = column[-1] - np.argmax(score[:, ::-1] > DEAD, axis=1)
+        word = letters_a[begin_a + i - 1]
+        at = np.clip(begin_b[:, None] + place - 1, 0, len(letters_b) - 1)
+        within = (place >= 0) & (place <= size_b[:, None])
+        agrees = (letters_b[at] == word[:, None]) & within & (place >= 1)
+        # A word of a left out comes from the next diagonal, a pair of words from the same one.
+        base, edit = np.full_like(score, DEAD), np.zeros_like(wrong)
+        base[:, :-1], edit[:, :-1] = score[:, 1:] - 1, wrong[:, 1:] + 1
+        step = np.where(agrees, score + 1, score - 1)
+        better = step > base
+        base, edit = np.where(better, step, base), np.where(better, np.where(agrees, wrong, wrong + 1), edit)
+        base[~within] = DEAD
+        # Words of b left out: the best cell before, less the distance; the nearest of equal ones.
+        key = np.maximum.accumulate((base + column) * RANK + column, axis=1)
+        source = key & (RANK - 1)
+        score = key // RANK - column
+        wrong = np.take_along_axis(edit, source, axis=1) + column - source
+        alive = (score >= floor[:, None]) & within & (column <= (last + X_DROP)[:, None])
+        score = np.where(alive, score, DEAD)
+        # The best agreeing cell, the longest of equal ones.
+        rank = np.where(alive & agrees, score, DEAD) * RANK + column
+        best = rank.argmax(axis=1)
+        each = np.arange(len(pair))
+        value, length = score[each, best], place[best]
+        hit = (alive & agrees)[each, best]
+        hit &= (value > top[:, 0]) | (value == top[:, 0]) & (i + length >= top[:, 1] + top[:, 2])
+        top[hit] = np.column_stack([value, np.full(len(pair), i), length, wrong[each, best]])[hit]
+        wide = alive[:, 0] | alive[:, -1]
+        done = wide | ~alive.any(axis=1) | (size_a == i)
+        if done.any():
+            for k, end, narrow in zip(pair[done].tolist(), top[done, 1:].tolist(), wide[done].tolist()):
+                out[k] = None if narrow else tuple(end)
+            left = ~done
+            pair, top, score, wrong = pair[left], top[left], score[left], wrong[left]
+            begin_a, size_a, begin_b, size_b = begin_a[left], size_a[left], begin_b[left], size_b[left]
+    return out
+
+
 def align(
     a: str, b: str, chain: list[tuple[int, int, int]], least: int, similarity: float
 ) -> list[tuple[int, int, int, int, int]]:
-    """Align two word strings along a chain: (a from, a to, b from, b to, edits) per stretch.
+    """The alignment of one pair of strings, as ``align_all`` finds it."""
+    return align_all([(a, b, chain)], least, similarity)[0]
+
+
+def align_all(
+    pairs: list[tuple[str, str, list[tuple[int, int, int]]]], least: int, similarity: float
+) -> list[list[tuple[int, int, int, int, int]]]:
+    """Align pairs of word strings along chains: (a from, a to, b from, b to, edits) per stretch.
 
     A chain is cut where it is not alike: between exact runs the strings are compared, and
     the longest stretches that reach ``similarity`` are kept. Their ends are extended over
     edits as long as more words agree, or only as far as the words agree where the stretch
     would fall below ``similarity``. Stretches inside another one are left out.
     """
-    exact, found = blocks(a, b, chain, least), set()
-    for first, last, wrong in alike_stretches(a, b, exact, similarity):
-        (p0, q0, _), (p1, q1, n1) = exact[first], exact[last]
-        before, after = (a[:p0][::-1], b[:q0][::-1]), (a[p1 + n1 :], b[q1 + n1 :])
-        plain = [(n, n, 0) for n in (_common(*before), _common(*after))]
-        far = [extend(*before), extend(*after)]
+    cores, ends = [], []
+    for number, (a, b, chain) in enumerate(pairs):
+        exact = blocks(a, b, chain, least)
+        for first, last, wrong in alike_stretches(a, b, exact, similarity):
+            (p0, q0, _), (p1, q1, n1) = exact[first], exact[last]
+            cores.append((number, p0, p1 + n1, q0, q1 + n1, wrong))
+            ends += [(a[:p0][::-1], b[:q0][::-1]), (a[p1 + n1 :], b[q1 + n1 :])]
+    plain = [(n, n, 0) for n in (_common(*end) for end in ends)]
+    far = extend_all(ends)
+    found: list[set[tuple[int, int, int, int, int]]] = [set() for _ in pairs]
+    for at, (number, p0, p1, q0, q1, wrong) in enumerate(cores):
+        before, after = 2 * at, 2 * at + 1
         # The longest choice that is alike enough; plain ends always are.
         options = []
-        for (i, j, e), (k, l, f) in ((far[0], far[1]), (far[0], plain[1]), (plain[0], far[1]), (plain[0], plain[1])):
-            span = (p0 - i, p1 + n1 + k, q0 - j, q1 + n1 + l, wrong + e + f)
+        for (i, j, e), (k, l, f) in (
+            (far[before], far[after]),
+            (far[before], plain[after]),
+            (plain[before], far[after]),
+            (plain[before], plain[after]),
+        ):
+            span = (p0 - i, p1 + k, q0 - j, q1 + l, wrong + e + f)
             if span[4] <= (1 - similarity) * max(span[1] - span[0], span[3] - span[2]) + 1e-9:
                 options.append(span)
-        found.add(max(options, key=lambda s: s[1] - s[0]))
+        found[number].add(max(options, key=lambda s: s[1] - s[0]))
+    return [_outermost(spans) for spans in found]
+
+
+def _outermost(found: set[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
     kept: list[tuple[int, int, int, int, int]] = []
     for s in sorted(found, key=lambda s: (s[0], -s[1], s[2], -s[3])):
         if not any(k[0] <= s[0] and s[1] <= k[1] and k[2] <= s[2] and s[3] <= k[3] for k in kept):

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventstrata.llm.chaining import align, chains, fragments, least_cover, safe_spans
+from eventstrata.llm.chaining import align_all, chains, fragments, least_cover, safe_spans
 from eventstrata.llm.common import group_starts, numbers, text_bytes, whole_groups
 from eventstrata.llm.textstats import window_hashes, word_hashes
 from eventstrata.session import scratch_path, stage
@@ -169,20 +169,70 @@ def _runs(how: Passages, bits: np.ndarray):
     return _rows_of(choose)
 
 
-def _first_places(seeds: DataFrame) -> DataFrame:
-    """seed, other, osig, other_pos, places: the first place of every seed that two documents have."""
-    last = [F.max(c).alias(f"last_{c}") for c in DOC]
-    shared = seeds.groupBy("seed").agg(F.min(F.struct(*DOC, "pos")).alias("f"), *last, F.count("*").alias("places"))
-    # One document only if neither its id nor, for one id, its signature ever differs.
-    return shared.where("f.doc < last_doc or f.sig < last_sig").select(
-        "seed", F.col("f.doc").alias("other"), F.col("f.sig").alias("osig"), F.col("f.pos").alias("other_pos"), "places"
-    )
+LINKED = "seed long, doc long, sig long, pos int, other long, osig long, other_pos int, places int"
+
+
+def _linked(seeds: DataFrame) -> DataFrame:
+    """Every place of the seeds that two documents have, with the seed's first place.
+
+    ``places`` is 1 or 2 or, for three and more, 3.
+    """
+    dealt = seeds.repartition("seed").sortWithinPartitions("seed", *DOC, "pos")
+    return dealt.mapInArrow(_with_first, LINKED)
+
+
+def _with_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places sorted by seed, document and position, with the first of their seed.
+
+    Of a seed that goes on in the next batch only the first place is held back, and all its
+    places as long as they are fewer than three or in one document.
+    """
+    names = [f.split()[0] for f in SEED.split(", ")]
+    held = [np.zeros(0, dtype=np.int64) for _ in names]
+    # The last seed's first place once some of its places are out.
+    known: list[int] | None = None
+
+    def out(rows: list[np.ndarray], first: np.ndarray, size: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
+        """The groups of ``size`` places from ``first`` on whose documents differ."""
+        several = (rows[1][first] != rows[1][last]) | (rows[2][first] != rows[2][last])
+        first, size = first[several], size[several]
+        at, of = _ranges(first, size), np.repeat(first, size)
+        places = np.repeat(np.minimum(size, 3), size)
+        columns = [*[r[at] for r in rows], *[r[of] for r in rows[1:]], places]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    schema = _arrow(LINKED)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [np.r_[h, numbers(batch, c).astype(np.int64)] for h, c in zip(held, names)]
+        if known:
+            same = int(np.searchsorted(rows[0], known[0], side="right"))
+            if same:
+                columns = [*[r[:same] for r in rows], *[np.full(same, k) for k in known[1:]], np.full(same, 3)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                rows = [r[same:] for r in rows]
+        held = [r[:0] for r in rows]
+        if not len(rows[0]):
+            continue
+        known = None
+        first = np.flatnonzero(np.r_[True, rows[0][1:] != rows[0][:-1]])
+        last = np.r_[first[1:], len(rows[0])] - 1
+        s, e = int(first[-1]), int(last[-1])
+        if e - s < 2 or (rows[1][s] == rows[1][e] and rows[2][s] == rows[2][e]):
+            held = [r[s:] for r in rows]
+            first, last = first[:-1], last[:-1]
+        else:
+            known = [int(r[s]) for r in rows]
+        yield out(rows, first, last - first + 1, last)
+    if len(held[0]):
+        yield out(held, np.zeros(1, dtype=np.int64), np.array([len(held[0])]), np.array([len(held[0]) - 1]))
 
 
-def _crowded(shared: DataFrame) -> np.ndarray | None:
+def _crowded(linked: DataFrame) -> np.ndarray | None:
     """One bit per slot of the anchors in three places or more; None without such anchors."""
     slot = F.pmod(F.shiftrightunsigned("seed", 1), F.lit(SLOTS))
-    crowded = shared.where("seed % 2 <> 0 and places > 2").select(slot.alias("slot"))
+    crowded = linked.where("seed % 2 <> 0 and places > 2").select(slot.alias("slot"))
     bit = F.expr("shiftleft(1L, cast(slot % 32 as int))")
     words = crowded.groupBy(F.expr("cast(slot div 32 as int)").alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
     if not len(words):
@@ -328,11 +378,14 @@ def _aligned(how: Passages):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for r in batch.to_pylist():
+            rows = batch.to_pylist()
+            pairs = []
+            for r in rows:
                 chain = [(p - r["lo"], q - r["other_lo"], n) for p, q, n in zip(r["p"], r["q"], r["n"])]
-                a, b = r["codes"], r["other_codes"]
+                pairs.append((r["codes"], r["other_codes"], chain))
+            for r, stretches in zip(rows, align_all(pairs, how.seed, how.similarity)):
                 at, other_at = r["lo"], r["other_lo"]
-                for lo, hi, other_lo, other_hi, wrong in align(a, b, chain, how.seed, how.similarity):
+                for lo, hi, other_lo, other_hi, wrong in stretches:
                     alike = 1 - wrong / max(hi - lo, other_hi - other_lo)
                     if hi - lo >= how.least_part and alike >= how.similarity - 1e-9:
                         there = (r["other"], other_lo + other_at, other_hi + other_at)
@@ -534,9 +587,9 @@ def _rest(texts: DataFrame, linked: DataFrame, found: DataFrame, how: Passages)
     )
     crowded = linked.where("places > 2").join(covers.hint("merge"), DOC, "left")
     later = F.expr("doc <> other or sig <> osig")
-    flagged = crowded.select("seed", *DOC, "pos", "places", (later & ~F.coalesce(inside, F.lit(False))).alias("open"))
-    asked = flagged.where("open").select("seed").distinct()
-    wanted = flagged.join(asked.hint("merge"), "seed", "left_semi")
+    flagged = crowded.select("seed", *DOC, "pos", (later & ~F.coalesce(inside, F.lit(False))).alias("open"))
+    asked = flagged.groupBy("seed").agg(F.count("*").alias("places"), F.max("open").alias("any")).where("any").drop("any")
+    wanted = flagged.join(asked.hint("merge"), "seed")
     by_doc = wanted.groupBy(*DOC).agg(F.collect_set(F.struct("seed", "pos", "places", "open")).alias("wanted"))
     one_text = texts.join(by_doc.hint("merge"), DOC).select(*DOC, "text", "wanted")
     places = one_text.mapInArrow(_surroundings(how), OPEN)
@@ -590,8 +643,7 @@ def _found(documents: DataFrame, signature: Column, how: Passages) -> DataFrame:
     texts = documents.select(F.col("doc_id").cast("long").alias("doc"), signature.alias("sig"), "text")
     texts = texts.where("doc is not null")
     seeds = texts.where("text is not null").mapInArrow(_seeds(how), SEED)
-    shared = stage(_first_places(seeds), scratch_path(spark, "shared"))
-    linked = stage(seeds.join(shared, "seed"), scratch_path(spark, "linked"))
+    linked = stage(_linked(seeds), scratch_path(spark, "linked"))
 
     def links(linked: DataFrame, width: Column) -> DataFrame:
         lone = (F.col("seed") % 2 != 0) & (F.col("places") == 2)
@@ -599,10 +651,10 @@ def _found(documents: DataFrame, signature: Column, how: Passages) -> DataFrame:
         return others.select(*PAIR, "pos", "other_pos", width.alias("width"), lone.alias("lone"))
 
     matches = links(linked, F.when(F.col("seed") % 2 != 0, how.anchor).otherwise(how.seed))
-    bits = _crowded(shared)
+    bits = _crowded(linked)
     if bits is not None:
         runs = texts.where("text is not null").mapInArrow(_runs(how, bits), SEED)
-        matches = matches.unionByName(links(runs.join(_first_places(runs), "seed"), F.lit(how.least)))
+        matches = matches.unionByName(links(_linked(runs), F.lit(how.least)))
     alike = stage(_alike(texts, matches, DOC, how), scratch_path(spark, "alike"))
 
     def passages(alike: DataFrame) -> DataFrame:

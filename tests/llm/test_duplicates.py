@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import AWKWARD, SHARED, components, repeated_exactly, simhash
 from hypothesis import given, settings
@@ -350,3 +351,41 @@ def test_rows_of_one_id_with_several_texts(spark):
     rows = [(1, shared, "a"), (2, f"a frame {shared} behind it", "b"), (2, other, "c"), (2, None, "d"), (3, other, "e")]
     kept = substrings.drop_passages(spark.createDataFrame(rows, "doc_id long, text string, sig string")).collect()
     assert sorted((r["sig"], r["text"]) for r in kept) == [("a", shared), ("b", "a frame behind it"), ("c", other), ("d", None)]
+
+
+def test_ends_extended_together_are_those_extended_one_by_one():
+    rng = random.Random(7)
+    pairs = []
+    for _ in range(600):
+        a = "".join(chr(300 + rng.randrange(rng.choice([2, 4, 40]))) for _ in range(rng.randrange(80)))
+        b = list(a)
+        for _ in range(rng.randrange(8)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.choice([0, 1, 2, 30])] = [chr(300 + rng.randrange(40)) for _ in range(rng.choice([0, 1, 2, 30]))]
+        pairs.append((a, "".join(b)))
+    assert chaining.extend_all(pairs) == [chaining.extend(a, b) for a, b in pairs]
+    # A passage that shifts beyond the diagonals followed together.
+    shifts = "".join(chr(300 + i) for i in range(200))
+    far = ("".join(shifts[i : i + 20] + "xyz" for i in range(0, 200, 20)), shifts)
+    filled = [p for p in [*pairs, far] if all(p)]
+    assert None in chaining._extend_rows(filled) and chaining.extend_all([far]) == [chaining.extend(*far)]
+    assert chaining.extend_all([]) == []
+
+
+@pytest.mark.parametrize("rows_at_once", [1, 3, 1000])
+def test_first_places_whatever_the_batches(rows_at_once):
+    """Seeds of one document, of few and of many places, also where a batch ends within them."""
+    rng = random.Random(rows_at_once)
+    rows = {(rng.randrange(12), rng.randrange(3), rng.randrange(2), rng.randrange(9)) for _ in range(60)}
+    rows |= {(20, 1, 0, i) for i in range(7)} | {(21, 1, 0, i) for i in range(7)} | {(21, 1, 1, 0), (22, 5, 0, 0), (23, 1, 0, 0)}
+    rows = sorted([*rows, *list(rows)[:9]])
+    names = ["seed", "doc", "sig", "pos"]
+    table = pa.table({n: pa.array(c, pa.int32() if n == "pos" else pa.int64()) for n, c in zip(names, zip(*rows))})
+    batches = [pa.record_batch(b) for b in table.to_batches(max_chunksize=rows_at_once)]
+    got = [tuple(r.values()) for b in substrings._with_first(iter([batches[0].slice(0, 0), *batches])) for r in b.to_pylist()]
+    want = []
+    for row in rows:
+        own = [r for r in rows if r[0] == row[0]]
+        if len({r[1:3] for r in own}) > 1:
+            want.append((*row, *own[0][1:], min(len(own), 3)))
+    assert sorted(got) == sorted(want) and len(want) > 50
