@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from math import inf
 from zlib import crc32
 
@@ -20,8 +21,10 @@ UNIGRAM, BPE, NORMAL, UNKNOWN, BYTE = 1, 2, 1, 2, 6
 # Weight of a fallback character: in BPE models the only weight there is, in unigram models
 # what their library adds to the weight of the unlikeliest piece.
 BPE_FALLBACK, UNIGRAM_FALLBACK = 1.0, 10.0
-# Chunks whose shortest path a worker remembers; longer chunks than LONGEST are not kept.
+# Parts whose shortest path a worker remembers; longer parts than LONGEST are not kept.
 REMEMBERED, LONGEST = 400_000, 48
+# Texts are cut into parts together until they have so many characters.
+CHARACTERS = 1 << 20
 
 
 class PieceTransducer:
@@ -35,8 +38,8 @@ class PieceTransducer:
     else it is infinite. A sequence of merges is the model's own exactly if all its
     neighbours are stable in this sense, so the tropical shortest path through the
     composition with an input is the model's segmentation; fallback characters become the
-    pieces of their bytes. Input is composed in chunks and parts of them, cut where no piece
-    can lie across: no piece has a space mark after another character.
+    pieces of their bytes. Input is composed in parts, cut where no piece can lie across; the
+    parts of many texts are cut and told apart on arrays, and each is composed once.
     """
 
     def __init__(self, path: str):
@@ -53,8 +56,6 @@ class PieceTransducer:
         self.byte = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.kind = [p.type for p in proto.pieces]
         self.raw = [self.bytes_of(i) for i in range(len(self.pieces))]
-        if any(SPACE in p.lstrip(SPACE) for p in self.score):
-            raise ValueError("a piece has a space mark after another character")
         unigram = kind == UNIGRAM
         weights = {
             p.piece: (i, -p.score if unigram else 0.0) for i, p in enumerate(proto.pieces) if p.type == NORMAL
@@ -62,8 +63,14 @@ class PieceTransducer:
         self.front, self.rewrite = rewriting(normaliser(SPACE))
         fallback = UNIGRAM_FALLBACK - min(self.score.values(), default=0.0) if unigram else BPE_FALLBACK
         self.lattice = Lattice(speller(weights), fallback, None if unigram else self.between)
-        self.chunk = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.joined = {p[i : i + 2] for p in self.score for i in range(len(p) - 1)}
+        # Vocabulary characters by number, 0 for all others, and which two stand next to each other in a piece.
+        alphabet = sorted({c for p in self.score for c in p})
+        self.letter = np.zeros(0x110000, dtype=np.uint16 if len(alphabet) < 1 << 16 else np.uint32)
+        self.letter[[ord(c) for c in alphabet]] = np.arange(1, len(alphabet) + 1)
+        self.joined = np.zeros((len(alphabet) + 1, len(alphabet) + 1), dtype=bool)
+        for p in self.score:
+            row = self.letter[[ord(c) for c in p]]
+            self.joined[row[:-1], row[1:]] = True
         self.stable: dict[int, float] = {}
         self.known: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
@@ -76,16 +83,19 @@ class PieceTransducer:
 
     def merged(self, text: str) -> list[str]:
         """Merge characters by score, best first and leftmost at ties."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                score = self.score.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if at < 0:
+        parts, score = list(text), self.score.get
+        scores = [score(x + y, -inf) for x, y in zip(parts, parts[1:])]
+        while scores:
+            best = max(scores)
+            if best == -inf:
                 break
+            at = scores.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = score(parts[at - 1] + parts[at], -inf)
+            if at < len(scores):
+                scores[at] = score(parts[at] + parts[at + 1], -inf)
         return parts
 
     def between(self, last: int, piece: int) -> float:
@@ -99,20 +109,24 @@ class PieceTransducer:
             found = self.stable[pair] = 0.0 if self.merged(a + b) == [a, b] else inf
         return found
 
-    def cut(self, chunk: str) -> list[str]:
-        """A chunk where two characters meet that no piece has next to each other.
+    def starts(self, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Where parts begin in the code points of texts that begin at ``first``.
 
-        Every path passes such a place, and no merge crosses it, so the parts' paths make up
-        the chunk's. Long runs without spaces, as in scripts that write none, fall into
-        short parts that come again.
+        A part ends where two characters meet that no piece has next to each other: every
+        path passes such a place, and no merge crosses it, so the parts' paths make up the
+        text's. Words end there, and long runs without spaces, as in scripts that write
+        none, fall into short parts that come again.
         """
-        joined, parts, at = self.joined, [], 0
-        for i in range(1, len(chunk)):
-            if chunk[i - 1 : i + 1] not in joined:
-                parts.append(chunk[at:i])
-                at = i
-        parts.append(chunk[at:])
-        return parts
+        letter = self.letter[codes]
+        begins = np.ones(len(codes), dtype=bool)
+        begins[1:] = ~self.joined[letter[:-1], letter[1:]]
+        begins[first] = True
+        return np.flatnonzero(begins)
+
+    def cut(self, text: str) -> list[str]:
+        """The parts of a text as it is, without the normaliser."""
+        at = self.starts(np.frombuffer(text.encode("utf-32-le"), dtype="<u4"), np.zeros(min(len(text), 1), dtype=int))
+        return [text[s:e] for s, e in zip(at.tolist(), [*at[1:].tolist(), len(text)])]
 
     def path(self, part: str) -> list[int]:
         """Ids along the shortest path of one part, fallback characters as their bytes' pieces."""
@@ -125,32 +139,45 @@ class PieceTransducer:
         return out
 
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        out: list[int] = []
-        for read, written in self.rewrite:
-            text = text.replace(read, written)
-        for chunk in self.chunk.findall(self.front + text):
-            out += self.known.get(chunk) or self.remembered(chunk)
-        return out
-
-    def remembered(self, chunk: str) -> tuple[int, ...]:
-        """The path of a chunk that is not in the young memo, from those of its parts."""
-        parts = self.cut(chunk)
-        if len(parts) == 1:
-            return self.recall(chunk)
-        found: list[int] = []
-        for part in parts:
-            found += self.known.get(part) or self.recall(part)
-        return self.recall(chunk, tuple(found))
-
-    def recall(self, part: str, found: tuple[int, ...] | None = None) -> tuple[int, ...]:
-        """A part's path from the old memo or anew, put into the young one.
+        return self.encode_all([text])[0].tolist()
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text. Parts are encoded once, however often they are in the texts."""
+        filled = []
+        for text in texts:
+            for read, written in self.rewrite if text else ():
+                text = text.replace(read, written)
+            filled.append(self.front + text if text else "")
+        whole = "".join(filled)
+        sizes = np.array([len(text) for text in filled], dtype=np.int64)
+        ends = np.cumsum(sizes)
+        if not whole:
+            return [np.zeros(0, dtype=np.int32) for _ in texts]
+        codes = np.frombuffer(whole.encode("utf-32-le"), dtype="<u4")
+        at = self.starts(codes, (ends - sizes)[sizes > 0])
+        # The parts as a column over the texts' UTF-8 bytes.
+        width = 1 + (codes > 0x7F) + (codes > 0x7FF).astype(np.int8) + (codes > 0xFFFF)
+        before = np.r_[0, np.cumsum(width, dtype=np.int64)]
+        offsets = pa.py_buffer(before[np.r_[at, len(codes)]])
+        parts = pa.Array.from_buffers(pa.large_string(), len(at), [None, offsets, pa.py_buffer(whole.encode("utf-8"))])
+        parts = parts.dictionary_encode()
+        found = [self.known.get(part) or self.recall(part) for part in parts.dictionary.to_pylist()]
+        count = np.array([len(ids) for ids in found], dtype=np.int64)
+        ids = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(count.sum()))
+        number = parts.indices.to_numpy()
+        count, first = count[number], (np.cumsum(count) - count)[number]
+        last = np.cumsum(count)
+        out = ids[np.arange(last[-1]) + np.repeat(first - last + count, count)]
+        edges = np.r_[0, last][np.searchsorted(at, np.r_[0, ends])].tolist()
+        return [out[lo:hi] for lo, hi in zip(edges, edges[1:])]
+
+    def recall(self, part: str) -> tuple[int, ...]:
+        """The path of a part that is not in the young memo: from the old one or anew, put into the young one.
 
         A full memo becomes the old one and what is still used moves over from it, so
         frequent parts stay known and memory is bounded by two memos.
         """
-        found = found or self.old.get(part) or tuple(self.path(part))
+        found = self.old.get(part) or tuple(self.path(part))
         if len(part) <= LONGEST:
             if len(self.known) >= REMEMBERED:
                 self.old, self.known = self.known, {}
@@ -169,26 +196,37 @@ def transducer(path: str) -> PieceTransducer:
     return PieceTransducer(path)
 
 
+def _encoded(machine: PieceTransducer, column: pa.Array) -> Iterator[tuple[int, list[str | None], list[np.ndarray]]]:
+    """(first row, texts, ids per text) of some rows at a time; a null has no ids."""
+    texts, held, start = [], 0, 0
+    for at, raw in enumerate(text_bytes(column), 1):
+        texts.append(None if raw is None else raw.decode("utf-8", "replace"))
+        held += len(raw or b"")
+        if held >= CHARACTERS or at == len(column):
+            yield start, texts, machine.encode_all([text or "" for text in texts])
+            texts, held, start = [], 0, at
+
+
 def encode_documents(documents: DataFrame, model: str) -> DataFrame:
     """One row per document: doc_id, ids (array), decoded (the text of the ids).
 
     Null texts have null ids and a null text, empty ones no ids and an empty text; U+2581 in
     a text decodes to a space, as the model's marks do. Repeated rows and null ids stay as
     they are, other columns are not read, an empty table gives an empty result. Texts are
-    encoded whole; memory is one text and a bounded memo of chunks.
+    encoded whole; memory is one portion of texts, at least one, and a bounded memo of parts.
     """
 
     def run(batches):
         machine = transducer(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids, decoded = [], []
-                for text in text_bytes(part.column("text")):
-                    found = None if text is None else machine.encode(text.decode("utf-8", "replace"))
-                    ids.append(None if found is None else np.array(found, dtype=np.int32))
-                    decoded.append(None if found is None else machine.decode(found))
-                arrays = [part.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+            for start, texts, found in _encoded(machine, batch.column("text")):
+                some = [None if text is None else ids for text, ids in zip(texts, found)]
+                decoded = [None if ids is None else machine.decode(ids.tolist()) for ids in some]
+                arrays = [
+                    batch.column("doc_id").slice(start, len(texts)),
+                    pa.array(some, pa.list_(pa.int32())),
+                    pa.array(decoded, pa.string()),
+                ]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "decoded"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -205,12 +243,11 @@ def encoded_digest(documents: DataFrame, model: str) -> DataFrame:
         machine = transducer(model)
         for batch in batches:
             size, check, same = [], [], []
-            for raw in text_bytes(batch.column("text")):
-                text = (raw or b"").decode("utf-8", "replace")
-                ids = machine.encode(text)
-                size.append(len(ids))
-                check.append(crc32(np.array(ids, dtype="<u4").tobytes()))
-                same.append(machine.decode(ids) == text.replace(SPACE, " "))
+            for _, texts, found in _encoded(machine, batch.column("text")):
+                for text, ids in zip(texts, found):
+                    size.append(len(ids))
+                    check.append(crc32(ids.astype("<u4").tobytes()))
+                    same.append(machine.decode(ids.tolist()) == (text or "").replace(SPACE, " "))
             arrays = [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(check, pa.int64())]
             yield pa.RecordBatch.from_arrays(
                 [*arrays, pa.array(same, pa.bool_())], names=["doc_id", "n_pieces", "ids_crc32", "round_trip"]

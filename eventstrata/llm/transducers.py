@@ -125,7 +125,9 @@ class Lattice:
         """Labels along the path of least weight: piece ids, and ~code point for fallback."""
         if not text:
             return []
-        return self._by_position(text) if self.between is None else self._best_first(text, self.between)
+        if self.between is None:
+            return self._by_position(text)
+        return self._free(text, self.between) or self._best_first(text, self.between)
 
     def _by_position(self, text: str) -> list[int]:
         """One state per position: all arcs from left to right; of equal weights the first stays."""
@@ -142,6 +144,38 @@ class Lattice:
             out.append(label)
         return out[::-1]
 
+    def _free(self, text: str, between: Callable[[int, int], float]) -> list[int] | None:
+        """Labels along the path that weighs nothing, the one that _best_first takes; None without such a path.
+
+        States that weigh nothing come before all others and the farthest first, which is
+        depth first.
+        """
+        size, spelled, lengths, short = len(text), self.spelled.get, self.lengths.get, self.short
+        labels, places, left = [self.START], [0], [iter(lengths(text[:LEAD], short))]
+        seen = set()
+        while left:
+            at, last = places[-1], labels[-1]
+            for length in left[-1]:
+                end = at + length
+                if end > size:
+                    continue
+                found = spelled(text[at:end])
+                if found is None or found[1] or (end, found[0]) in seen:
+                    continue
+                if last >= 0 and between(last, found[0]):
+                    continue
+                labels.append(found[0])
+                if end == size:
+                    return labels[1:]
+                seen.add((end, found[0]))
+                places.append(end)
+                left.append(iter(lengths(text[end : end + LEAD], short)))
+                break
+            else:
+                for stack in (labels, places, left):
+                    stack.pop()
+        return None
+
     def _best_first(self, text: str, between: Callable[[int, int], float]) -> list[int]:
         """States (position, last piece) by weight, of equal ones the farthest first.
 

@@ -129,3 +129,17 @@ def test_decoding_joins_bytes_across_pieces():
     assert machine.decode([first, second, letter]) == "é" + machine.pieces[letter].replace(pieces.SPACE, " ")
     assert machine.decode([second, first, unknown, control, first, second]) == "\ufffd\ufffd ⁇ é"
     assert machine.decode([]) == ""
+
+
+def test_texts_encoded_together_are_those_encoded_alone():
+    machine, library = pieces.PieceTransducer(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rng = random.Random(6)
+    made = ["".join(rng.choice("theran  ▁é漢\U0001f469\n.0\x00") for _ in range(rng.randint(0, 30))) for _ in range(400)]
+    made = ["", "", *ODD, *made, "", "\U0001f469", ""]
+    assert [ids.tolist() for ids in machine.encode_all(made)] == [library.encode(t) if t else [] for t in made]
+    assert [ids.tolist() for ids in machine.encode_all(["", ""])] == [[], []] and machine.encode_all([]) == []
+    # One path per part of all texts.
+    fresh, calls = pieces.PieceTransducer(MODEL), []
+    fresh.path = lambda part: calls.append(part) or pieces.PieceTransducer.path(fresh, part)
+    fresh.encode_all(["two words, two words", "words two"])
+    assert sorted(calls) == sorted(set(calls)) and len(calls) == 3
