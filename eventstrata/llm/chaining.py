@@ -252,7 +252,7 @@ def extend(a: str, b: str) -> tuple[int, int, int]:
 
 
 # Starts are extended side by side, so many pairs at once; diagonals followed to either side of the main one.
-AT_ONCE, DIAGONALS = 2048, 24
+AT_ONCE, DIAGONALS = 4096, 16
 # Score of a cell that is not followed; columns are numbered below RANK in the keys of running maxima.
 DEAD, RANK = -(1 << 20), 1 << 6
 
@@ -278,9 +278,14 @@ def extend_all(pairs: list[tuple[str, str]]) -> list[tuple[int, int, int]]:
 
 
 def _letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The letters of all texts, where each text begins and how long it is."""
-    size = np.array([len(t) for t in texts], dtype=np.int64)
-    return np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4"), np.cumsum(size) - size, size
+    """The letters of all texts, where each text begins and how long it is.
+
+    Letters in front and behind let every diagonal read on both sides.
+    """
+    edge = "\0" * (2 * DIAGONALS + 2)
+    size = np.array([len(t) for t in texts], dtype=np.int32)
+    begin = (np.cumsum(size) - size + len(edge)).astype(np.int32)
+    return np.frombuffer("".join([edge, *texts, edge]).encode("utf-32-le"), dtype="<u4"), begin, size
 
 
 def _extend_rows(pairs: list[tuple[str, str]]) -> list[tuple[int, int, int] | None]:
@@ -306,9 +311,11 @@ def _extend_rows(pairs: list[tuple[str, str]]) -> list[tuple[int, int, int] | No
         floor = top[:, 0] - X_DROP
         last = column[-1] - np.argmax(score[:, ::-1] > DEAD, axis=1)
         word = letters_a[begin_a + i - 1]
-        at = np.clip(begin_b[:, None] + place - 1, 0, len(letters_b) - 1)
-        within = (place >= 0) & (place <= size_b[:, None])
-        agrees = (letters_b[at] == word[:, None]) & within & (place >= 1)
+        within = place <= size_b[:, None]
+        agrees = (letters_b.take(begin_b[:, None] + (place - 1)) == word[:, None]) & within
+        if i <= DIAGONALS:
+            within &= place >= 0
+            agrees &= place >= 1
         # A word of a left out comes from the next diagonal, a pair of words from the same one.
         base, edit = np.full_like(score, DEAD), np.zeros_like(wrong)
         base[:, :-1], edit[:, :-1] = score[:, 1:] - 1, wrong[:, 1:] + 1
@@ -317,16 +324,16 @@ def _extend_rows(pairs: list[tuple[str, str]]) -> list[tuple[int, int, int] | No
         base, edit = np.where(better, step, base), np.where(better, np.where(agrees, wrong, wrong + 1), edit)
         base[~within] = DEAD
         # Words of b left out: the best cell before, less the distance; the nearest of equal ones.
-        key = np.maximum.accumulate((base + column) * RANK + column, axis=1)
+        key = np.maximum.accumulate((base + column) * np.int32(RANK) + column, axis=1)
         source = key & (RANK - 1)
         score = key // RANK - column
-        wrong = np.take_along_axis(edit, source, axis=1) + column - source
+        each = np.arange(len(pair))
+        wrong = edit.take(source + (each * len(column))[:, None]) + (column - source)
         alive = (score >= floor[:, None]) & within & (column <= (last + X_DROP)[:, None])
         score = np.where(alive, score, DEAD)
         # The best agreeing cell, the longest of equal ones.
         rank = np.where(alive & agrees, score, DEAD) * RANK + column
         best = rank.argmax(axis=1)
-        each = np.arange(len(pair))
         value, length = score[each, best], place[best]
         hit = (alive & agrees)[each, best]
         hit &= (value > top[:, 0]) | (value == top[:, 0]) & (i + length >= top[:, 1] + top[:, 2])
