@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventstrata.llm.chaining import align_all, chains, fragments, least_cover, safe_spans
+from eventstrata.llm.chaining import X_DROP, align_all, chains, fragments, least_cover, safe_spans
 from eventstrata.llm.common import group_starts, numbers, text_bytes, whole_groups
 from eventstrata.llm.textstats import window_hashes, word_hashes
 from eventstrata.session import scratch_path, stage
@@ -317,9 +318,9 @@ def _chains(how: Passages):
                 here = np.r_[p[s:e], p[ends] + width[ends] - how.seed]
                 there = np.r_[q[s:e], q[ends] + width[ends] - how.seed]
                 key = [int(n[s]) for n in names]
-                for chain in chains(fragments(here, there, how.seed, how.reach), how.seed):
-                    (p0, q0, _), (p1, q1, n1) = chain[0], chain[-1]
-                    pieces = [list(x) for x in zip(*chain)]
+                for line in chains(fragments(here, there, how.seed, how.reach), how.seed):
+                    (p0, q0, _), (p1, q1, n1) = line[0], line[-1]
+                    pieces = [list(x) for x in zip(*line)]
                     out.append((*key, *pieces, *region(p0, p1 + n1), *region(q0, q1 + n1)))
             if out:
                 yield pa.RecordBatch.from_arrays(
@@ -381,8 +382,8 @@ def _aligned(how: Passages):
             rows = batch.to_pylist()
             pairs = []
             for r in rows:
-                chain = [(p - r["lo"], q - r["other_lo"], n) for p, q, n in zip(r["p"], r["q"], r["n"])]
-                pairs.append((r["codes"], r["other_codes"], chain))
+                line = [(p - r["lo"], q - r["other_lo"], n) for p, q, n in zip(r["p"], r["q"], r["n"])]
+                pairs.append((r["codes"], r["other_codes"], line))
             for r, stretches in zip(rows, align_all(pairs, how.seed, how.similarity)):
                 at, other_at = r["lo"], r["other_lo"]
                 for lo, hi, other_lo, other_hi, wrong in stretches:
@@ -419,13 +420,19 @@ def _passages(how: Passages):
 
 
 # Words around a place become bins; a word that is not there has the bin behind the last one.
-BINS = 512
-# So many places of a seed are compared with so many others at once; more are dealt over several tiles.
-TILE = 2048
+BINS = (1 << 16) - 1
+# Pairs are first looked for with so few bins that a row per place and a column per bin can be multiplied.
+COARSE = 512
+# So many places of a seed are compared with so many others; more are dealt over several tiles.
+TILE = 1 << 14
+# So many of a tile's places are multiplied with its others at once.
+ROWS_AT_ONCE = 512
 # Up to so many pairs of a tile are looked up one by one, more as a product of matrices.
 FEW_PAIRS, PAIRS_AT_ONCE = 2048, 1 << 17
+# Score of a cell that is not followed; ends are followed for so many pairs at once.
+DEAD, ENDS_AT_ONCE = -30, 1 << 12
 TILES = ["seed", "i", "j"]
-OPEN = "seed long, doc long, sig long, pos int, places long, open boolean, deal long, around binary"
+OPEN = "seed long, doc long, sig long, pos int, places long, open boolean, deal long, run int, around binary"
 COMPARED = "doc long, sig long, other long, osig long, pos int, other_pos int, width int, lone boolean"
 
 
@@ -439,72 +446,114 @@ def _width(how: Passages) -> int:
     return 2 * (how.least_part + _slack(how)) - how.seed
 
 
-def surroundings(words: np.ndarray, at: np.ndarray, anchor: np.ndarray, how: Passages) -> np.ndarray:
-    """The bins of the words around each of the places ``at``, in the middle the seed or anchor itself."""
+def surroundings(words: np.ndarray, sizes: np.ndarray, row: np.ndarray, pos: np.ndarray, anchor: np.ndarray, how: Passages) -> np.ndarray:
+    """The bins of the words around each of the places ``pos`` of text ``row``, in the middle the seed or anchor itself.
+
+    Texts of ``sizes`` words follow one another.
+    """
     size = _width(how)
-    bins = np.full(len(words) + 2 * size, BINS, dtype=np.uint16)
-    bins[size : size + len(words)] = words % np.uint64(BINS)
-    first = at + size - np.where(anchor, (size - how.anchor) // 2, (size - how.seed) // 2)
+    # As many words that are not there before and behind each text.
+    bins = np.full(len(words) + (len(sizes) + 1) * size, BINS, dtype=np.uint16)
+    begin = np.cumsum(sizes) - sizes + (np.arange(len(sizes)) + 1) * size
+    bins[_ranges(begin, sizes)] = words % np.uint64(BINS)
+    first = begin[row] + pos - np.where(anchor, (size - how.anchor) // 2, (size - how.seed) // 2)
     return bins[first[:, None] + np.arange(size)]
 
 
+def periodic_runs(words: np.ndarray, sizes: np.ndarray, row: np.ndarray, pos: np.ndarray, anchor: np.ndarray, how: Passages) -> np.ndarray:
+    """How many words from each of the places ``pos`` of text ``row`` go on with the period of its seed or anchor.
+
+    Of overlapping equal seeds only the first is kept, so this is all that tells how long a
+    run of one word or phrase is. Seeds that do not overlap an equal one have their own words only.
+    """
+    runs = np.where(anchor, how.anchor, how.seed)
+    ends = np.cumsum(sizes)
+    at, stop = (ends - sizes)[row] + pos, ends[row]
+    for long, width in ((False, how.seed), (True, how.anchor)):
+        rest = np.flatnonzero(anchor == long)
+        hashes = window_hashes(words, width) if len(rest) else words
+        for period in range(1, width + 1):
+            rest = rest[at[rest] + period + width <= stop[rest]]
+            same = hashes[at[rest]] == hashes[at[rest] + period]
+            if same.any():
+                differ = np.flatnonzero(np.r_[words[period:] != words[:-period], True])
+                these = rest[same]
+                until = differ[np.searchsorted(differ, at[these])] + period
+                runs[these] = np.minimum(until, stop[these]) - at[these]
+                rest = rest[~same]
+    return runs
+
+
 def _surroundings(how: Passages):
     """A row per wanted place with what stands around it; ``deal`` numbers the rows of a task."""
     size = 2 * _width(how)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealt = 0
-        for batch in batches:
-            wanted = batch.column("wanted")
-            owner = np.repeat(np.arange(batch.num_rows), wanted.value_lengths().to_numpy(zero_copy_only=False))
-            if not len(owner):
-                continue
-            fields = wanted.flatten()
-            seed, at = (fields.field(c) for c in ("seed", "pos"))
-            anchor, pos = seed.to_numpy() % 2 != 0, at.to_numpy()
-            edges = np.searchsorted(owner, np.arange(batch.num_rows + 1)).tolist()
-            around = []
-            for text, s, e in zip(text_bytes(batch.column("text")), edges, edges[1:]):
-                around.append(surroundings(word_hashes((text or b"").split()), pos[s:e], anchor[s:e], how))
-            ends = np.arange(len(owner) + 1, dtype=np.int32) * size
-            data = np.concatenate(around).astype("<u2").tobytes()
-            around = pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(ends), pa.py_buffer(data)])
-            deal = pa.array(np.arange(dealt, dealt + len(owner)))
-            dealt += len(owner)
-            ids = [batch.column(c).take(pa.array(owner)) for c in DOC]
-            more = [fields.field(c) for c in ("places", "open")]
-            columns = [seed, *ids, at, *more, deal, around]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in OPEN.split(", ")])
+        for whole in batches:
+            for start, sizes, words in _hashed(whole):
+                batch = whole.slice(start, len(sizes))
+                wanted = batch.column("wanted")
+                owner = np.repeat(np.arange(batch.num_rows), wanted.value_lengths().to_numpy(zero_copy_only=False))
+                if not len(owner):
+                    continue
+                fields = wanted.flatten()
+                seed, at = (fields.field(c) for c in ("seed", "pos"))
+                where = words, sizes, owner, at.to_numpy(), seed.to_numpy() % 2 != 0, how
+                ends = np.arange(len(owner) + 1, dtype=np.int32) * size
+                data = surroundings(*where).astype("<u2").tobytes()
+                around = pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+                deal = pa.array(np.arange(dealt, dealt + len(owner)))
+                dealt += len(owner)
+                ids = [batch.column(c).take(pa.array(owner)) for c in DOC]
+                more = [fields.field(c) for c in ("places", "open")]
+                columns = [seed, *ids, at, *more, deal, pa.array(periodic_runs(*where), pa.int32()), around]
+                yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in OPEN.split(", ")])
 
     return run
 
 
 def alike_pairs(
-    bins: np.ndarray, group: np.ndarray, left: np.ndarray, right: np.ndarray, slack: int, least: int
+    bins: np.ndarray,
+    group: np.ndarray,
+    left: np.ndarray,
+    right: np.ndarray,
+    slack: int,
+    least: int,
+    rank: np.ndarray | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of one group, from ``left`` and ``right``, with ``least`` words in common or more.
 
     Counted are the words of the left row, without ``slack`` at its two ends, whose bin the
     right row has: never fewer than an alignment of the two can match. Every pair is looked
-    at; memory is one block of them.
+    at, or with ``rank``, by which left and right rows of a group are sorted, every pair whose right row ranks
+    lower; memory is one block of them. All pairs of a left row come together.
     """
-    inner = bins[:, slack : bins.shape[1] - slack]
-    there = np.zeros((len(bins), BINS + 1), dtype=bool)
-    there[np.arange(len(bins))[:, None], bins] = True
-    there[:, BINS] = False
+    coarse = np.where(bins == BINS, COARSE, bins % COARSE).astype(np.int64)
+    inner = coarse[:, slack : bins.shape[1] - slack]
+    there = np.zeros((len(bins), COARSE + 1), dtype=bool)
+    there[np.arange(len(bins))[:, None], coarse] = True
+    there[:, COARSE] = False
     n = int(group[-1]) + 1
     n_left, n_right = np.bincount(group[left], minlength=n), np.bincount(group[right], minlength=n)
     from_left, from_right = np.cumsum(n_left) - n_left, np.cumsum(n_right) - n_right
     many = n_left * n_right > FEW_PAIRS
     for g in np.flatnonzero(many).tolist():
         b = right[from_right[g] : from_right[g] + n_right[g]]
-        theirs = there[b].T.astype(np.float32)
-        for at in range(from_left[g], from_left[g] + n_left[g], TILE):
-            a = left[at : min(at + TILE, from_left[g] + n_left[g])]
-            ours = np.zeros((len(a), BINS + 1), dtype=np.float32)
-            np.add.at(ours, (np.arange(len(a))[:, None], inner[a]), 1)
-            x, y = np.nonzero(ours @ theirs >= least)
-            yield a[x], b[y]
+        theirs = np.ascontiguousarray(there[b, :COARSE].T, dtype=np.float32)
+        step = min(TILE, ROWS_AT_ONCE)
+        for at in range(from_left[g], from_left[g] + n_left[g], step):
+            a = left[at : min(at + step, from_left[g] + n_left[g])]
+            # No right row from here on ranks below any of these left rows.
+            stop = len(b) if rank is None else int(np.searchsorted(rank[b], rank[a[-1]]))
+            cells = inner[a] + np.arange(len(a))[:, None] * (COARSE + 1)
+            ours = np.bincount(cells.ravel(), minlength=len(a) * (COARSE + 1)).reshape(len(a), -1)[:, :COARSE]
+            common = np.flatnonzero(ours.astype(np.float32) @ theirs[:, :stop] >= least)
+            x, y = a[common // max(stop, 1)], b[common % max(stop, 1)]
+            if rank is not None:
+                earlier = rank[y] < rank[x]
+                x, y = x[earlier], y[earlier]
+            yield x, y
     rows = left[~many[group[left]]]
     per_row = n_right[group[rows]]
     block = np.cumsum(per_row) // PAIRS_AT_ONCE
@@ -514,6 +563,9 @@ def alike_pairs(
         a = np.repeat(some, count)
         skip = np.repeat(np.cumsum(count) - count, count)
         b = right[np.repeat(from_right[group[some]], count) + np.arange(len(a)) - skip]
+        if rank is not None:
+            earlier = rank[b] < rank[a]
+            a, b = a[earlier], b[earlier]
         common = there[b[:, None], inner[a]].sum(axis=1)
         yield a[common >= least], b[common >= least]
 
@@ -540,29 +592,129 @@ def alike_around(bins: np.ndarray, a: np.ndarray, b: np.ndarray, how: Passages)
     return out
 
 
+def reach(ours: np.ndarray, theirs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(score, words of ours, words of theirs, whether more may follow) of the best common starts of pairs of rows.
+
+    Scored as the ends of stretches are: agreeing words count 1, edits -1, of equal scores
+    a longer one wins, and cells of more than X_DROP below the best are not followed. More
+    may follow where a cell at the rows' end is still followed.
+    """
+    n, size = ours.shape
+    shift = np.arange(-X_DROP, X_DROP + 1, dtype=np.int16)[:, None]
+    a = np.ascontiguousarray(ours.T)
+    known = a != BINS
+    b = np.full((size + 2 * X_DROP, n), BINS, dtype=theirs.dtype)
+    b[X_DROP : X_DROP + size] = theirs.T
+    score = np.repeat(np.where(shift >= 0, -shift, DEAD).astype(np.int16), n, axis=1)
+    # Score and diagonal in one number.
+    top, words = np.full(n, X_DROP, dtype=np.int16), np.zeros(n, dtype=np.int16)
+    for i in range(size):
+        step = score + np.where((b[i : i + len(shift)] == a[i]) & known[i], np.int16(1), np.int16(-1))
+        # A word of ours left out comes from the next diagonal, words of theirs from those before.
+        np.maximum(step[:-1], score[1:] - np.int16(1), out=step[:-1])
+        for d in range(1, len(shift)):
+            np.maximum(step[d], step[d - 1] - np.int16(1), out=step[d])
+        score = np.where(step >= (top >> 5) - np.int16(X_DROP), step, np.int16(DEAD))
+        best = ((score << 5) + (shift + np.int16(X_DROP))).max(axis=0)
+        longer = (best >> 5) >= (top >> 5)
+        top, words = np.where(longer, best, top), np.where(longer, np.int16(i + 1), words)
+    return top >> 5, words, words + (top & 31) - X_DROP, (score > DEAD).any(axis=0)
+
+
+def farthest(
+    bins: np.ndarray, a: np.ndarray, b: np.ndarray, width: int, run: np.ndarray, rank: np.ndarray, how: Passages
+) -> np.ndarray:
+    """Which pairs of rows to align so that all words that a left row shares around its seed are found.
+
+    ``width`` words agree in the middle. From there a pair's stretch is followed to both ends, as
+    far as the surroundings show, or as far as ``run`` says that both repeat it. Stretches of one left row all hold its seed, so the one that
+    reaches farthest before and the one that reaches farthest behind cover all of them; the
+    one that agrees best is kept as well. Of equal ones that of the lowest ``rank`` is kept,
+    so places of one document name the same owner. Pairs that end on both sides before they
+    have as many words in common as an alike stretch of the least length has up to its best ends are
+    none: what is cut off there holds no more agreeing words than edits.
+    """
+    first = (bins.shape[1] - width) // 2
+    sides = []
+    for part in (slice(first - 1, None, -1), slice(first + width, None)):
+        ends = []
+        for at in range(0, len(a), ENDS_AT_ONCE):
+            x, y = (bins[side[at : at + ENDS_AT_ONCE], part] for side in (a, b))
+            plain = np.c_[(x != y) | (x == BINS), np.ones(len(x), dtype=bool)].argmax(axis=1)
+            ends.append((*reach(x, y), plain))
+        value, words, other, more, plain = (np.concatenate(x).astype(np.int64) for x in zip(*ends))
+        sides.append(((value, words, other), (plain, plain, plain), more))
+    (far, near, more), (far_on, near_on, more_on) = sides
+    repeated = np.minimum(run[a], run[b]) - width
+    longer = (repeated > far_on[1]) & (near_on[1] == bins.shape[1] - first - width)
+    far_on, near_on = (tuple(np.where(longer, repeated, x) for x in side) for side in (far_on, near_on))
+    share = 1 - how.similarity
+    before, behind = np.full(len(a), -1), np.full(len(a), -1)
+    for left, right in ((near, near_on), (near, far_on), (far, near_on), (far, far_on)):
+        # Never more edits than there are: a replaced word counts for two words and a score of two less.
+        wrong = (left[1] + left[2] - 2 * left[0] + right[1] + right[2] - 2 * right[0] + 3) // 4
+        length = np.maximum(left[1] + right[1], left[2] + right[2]) + width
+        better = (wrong <= share * length + 1e-9) & (left[1] + right[1] > before + behind)
+        before, behind = np.where(better, left[1], before), np.where(better, right[1], behind)
+    agree = [v + (w + o - 2 * v) // 3 for v, w, o in (far, far_on)]
+    certain = int(np.ceil(how.similarity * how.least_part - 1e-9))
+    possible = (more | more_on).astype(bool) | (width + agree[0] + agree[1] >= 2 * certain - how.least_part)
+    whole = before + behind + width >= how.least_part
+    value = far[0] + far_on[0]
+    kept = np.zeros(len(a), dtype=bool)
+    some = np.flatnonzero(possible)
+    for order in ((behind, before), (before, behind), (before + behind, value)):
+        keys = (rank[b], -value, *[-o for o in order], ~whole, a)
+        at = some[np.lexsort([k[some] for k in keys])]
+        kept[at[np.r_[True, np.diff(a[at]) != 0]] if len(at) else at] = True
+    return kept
+
+
 def _compared(how: Passages):
-    """Matches of open places with all places of earlier documents that have alike surroundings."""
+    """Matches of open places with the places of earlier documents that have alike surroundings."""
     schema = pa.schema([*_arrow(COMPARED.rsplit(", ", 1)[0]), ("lone", pa.bool_())])
     least = int(np.ceil(how.similarity * how.least_part - 1e-9))
     size = _width(how)
 
+    def chosen(bins: np.ndarray, pairs: list, anchor: np.ndarray, run: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        a, b = (np.concatenate(side) for side in zip(*pairs))
+        close = alike_around(bins, a, b, how)
+        a, b = a[close], b[close]
+        kept = np.zeros(len(a), dtype=bool)
+        for long, width in ((False, how.seed), (True, how.anchor)):
+            these = np.flatnonzero(anchor[a] == long)
+            if len(these):
+                kept[these] = farthest(bins, a[these], b[these], width, run, rank, how)
+        return a[kept], b[kept]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, TILES):
             bins = np.frombuffer(b"".join(table.column("around").to_pylist()), dtype="<u2").reshape(-1, size)
             first = np.zeros(table.num_rows, dtype=np.int64)
             first[group_starts(table, TILES)] = 1
             group = np.cumsum(first) - 1
-            seed, doc, sig, pos, i, j, block, is_open = (
-                numbers(table, c) for c in ("seed", "doc", "sig", "pos", "i", "j", "block", "open")
+            seed, doc, sig, pos, i, j, block, runs, is_open = (
+                numbers(table, c) for c in ("seed", "doc", "sig", "pos", "i", "j", "block", "run", "open")
             )
-            left, right = np.flatnonzero(is_open & (i == block)), np.flatnonzero(j == block)
+            # Texts in their order; places of one text rank alike.
+            order = np.lexsort((sig, doc))
+            new = (np.diff(doc[order]) != 0) | (np.diff(sig[order]) != 0)
+            rank = np.empty(len(order), dtype=np.int64)
+            rank[order] = np.cumsum(np.r_[False, new])
+            order = np.lexsort((rank, group))
+            left, right = order[(is_open & (i == block))[order]], order[(j == block)[order]]
             if not len(left) or not len(right):
                 continue
-            for a, b in alike_pairs(bins, group, left, right, _slack(how), least):
-                earlier = (doc[b] < doc[a]) | (doc[b] == doc[a]) & (sig[b] < sig[a])
-                a, b = a[earlier], b[earlier]
-                close = alike_around(bins, a, b, how)
-                a, b = a[close], b[close]
+            pairs, held = [], 0
+            found = alike_pairs(bins, group, left, right, _slack(how), least, rank)
+            for some in chain(found, [None]):
+                if some is not None:
+                    pairs.append(some)
+                    held += len(some[0])
+                if not held or some is not None and held < PAIRS_AT_ONCE:
+                    continue
+                a, b = chosen(bins, pairs, seed % 2 != 0, runs, rank)
+                pairs, held = [], 0
                 if len(a):
                     width = np.where(seed[a] % 2 != 0, how.anchor, how.seed)
                     columns = [doc[a], sig[a], doc[b], sig[b], pos[a], pos[b], width, np.ones(len(a), dtype=bool)]
@@ -589,7 +741,7 @@ def _rest(texts: DataFrame, linked: DataFrame, found: DataFrame, how: Passages)
     later = F.expr("doc <> other or sig <> osig")
     flagged = crowded.select("seed", *DOC, "pos", (later & ~F.coalesce(inside, F.lit(False))).alias("open"))
     asked = flagged.groupBy("seed").agg(F.count("*").alias("places"), F.max("open").alias("any")).where("any").drop("any")
-    wanted = flagged.join(asked.hint("merge"), "seed")
+    wanted = stage(flagged.join(asked.hint("merge"), "seed"), scratch_path(texts.sparkSession, "wanted"))
     by_doc = wanted.groupBy(*DOC).agg(F.collect_set(F.struct("seed", "pos", "places", "open")).alias("wanted"))
     one_text = texts.join(by_doc.hint("merge"), DOC).select(*DOC, "text", "wanted")
     places = one_text.mapInArrow(_surroundings(how), OPEN)
@@ -599,9 +751,19 @@ def _rest(texts: DataFrame, linked: DataFrame, found: DataFrame, how: Passages)
         "array_union(if(open, transform(sequence(0, blocks - 1), x -> struct(block as i, x as j)), array()), "
         "transform(sequence(0, blocks - 1), x -> struct(x as i, block as j)))"
     )
-    dealt = places.select("seed", *DOC, "pos", "open", "block", "around", F.explode(tiles).alias("tile"))
+    dealt = places.select("seed", *DOC, "pos", "open", "block", "run", "around", F.explode(tiles).alias("tile"))
     dealt = dealt.select("*", "tile.i", "tile.j").drop("tile").repartition(*TILES).sortWithinPartitions(*TILES)
-    return dealt.mapInArrow(_compared(how), COMPARED)
+    owners = dealt.mapInArrow(_compared(how), COMPARED)
+    # Other places that the two documents share nearby belong to the same chain.
+    near = owners.select(*PAIR, F.col("pos").alias("p"), F.col("other_pos").alias("q")).distinct()
+    own = wanted.where("open").select("seed", *DOC, "pos")
+    close = F.abs(F.col("pos") - F.col("p")) <= how.least + how.reach
+    near = near.join(own.hint("merge"), DOC).where(close)
+    theirs = wanted.select("seed", *[F.col(a).alias(b) for a, b in zip([*DOC, "pos"], ["other", "osig", "other_pos"])])
+    shifted = F.col("pos") - F.col("other_pos") - F.col("p") + F.col("q")
+    near = near.join(theirs.hint("merge"), ["other", "osig", "seed"]).where(F.abs(shifted) <= how.reach)
+    width = F.when(F.col("seed") % 2 != 0, how.anchor).otherwise(how.seed)
+    return near.select(*PAIR, "pos", "other_pos", width.alias("width"), F.lit(True).alias("lone")).distinct()
 
 
 def repeated_passages(documents: DataFrame, how: Passages = Passages()) -> DataFrame:

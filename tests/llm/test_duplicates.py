@@ -254,6 +254,57 @@ def test_passage_at_the_second_place_of_the_first_document(spark):
     assert found == {(1, len(phrases) + 40, 9, 69)}
 
 
+def test_rows_of_a_fuzzy_family_grow_with_its_members(spark):
+    """No first place is a copy, and every copy is alike to all earlier ones: few owners name all its words."""
+    rng = random.Random(9)
+
+    def noise(n):
+        return [f"n{rng.randrange(10**9)}" for _ in range(n)]
+
+    passage, size = noise(60), 40
+    rows = [(i, noise(20) + passage[i // 3 : i // 3 + 5] + noise(20)) for i in range(3 * 56)]
+    rows += [(900 + i, noise(9 + i) + [w if k % 9 != 8 else noise(1)[0] for k, w in enumerate(passage)] + noise(30)) for i in range(size)]
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    found = substrings.repeated_passages(table).collect()
+    assert {(r["doc_id"], r["passage_start"], r["passage_end"]) for r in found} == {(900 + i, 9 + i, 69 + i) for i in range(1, size)}
+    assert len(found) < 4 * size
+
+
+def test_longest_runs_of_one_word_are_found(spark):
+    """Of many runs of one word those that reach farthest, beyond the words compared, are the owners."""
+    rng = random.Random(10)
+
+    def noise(n):
+        return [f"n{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows = [(i, noise(20) + ["aa"] * n + noise(20) + ["bb"] * n + noise(20)) for i, n in enumerate([6, 9, *[31 + k % 5 for k in range(30)], 47, 33, 60, 32])]
+    rows += [(100, noise(7) + ["aa"] * 47 + ["bb"] * 45 + noise(9))]
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    found = [r for r in substrings.repeated_passages(table).collect() if r["doc_id"] == 100]
+    assert {(r["passage_start"], r["passage_end"]) for r in found} == {(7, 99)} and len(found) < 12
+
+
+def test_periodic_runs_and_surroundings_of_several_texts():
+    rng, how = random.Random(11), substrings.Passages()
+    for _ in range(30):
+        texts = [[rng.randrange(10**6) for _ in range(rng.randrange(8))] for _ in range(4)]
+        for text in texts:
+            period = [rng.randrange(3) for _ in range(rng.randrange(1, 20))]
+            text += (period * 60)[: rng.randrange(5, 80)] + [rng.randrange(3) for _ in range(30)]
+        words, sizes = np.array(sum(texts, []), dtype=np.uint64), np.array([len(t) for t in texts])
+        places = [(row, pos, mark) for row, t in enumerate(texts) for pos in range(len(t)) for mark, w in ((0, 5), (1, 16)) if pos + w <= len(t)]
+        row, pos, anchor = (np.array(x) for x in zip(*places))
+        runs = substrings.periodic_runs(words, sizes, row, pos, anchor == 1, how)
+        around = substrings.surroundings(words, sizes, row, pos, anchor == 1, how)
+        for (r, p, mark), run, bins in zip(places, runs.tolist(), around.tolist()):
+            text, width = texts[r], 16 if mark else 5
+            step = next((k for k in range(1, width + 1) if text[p + k : p + k + width] == text[p : p + width]), None)
+            want = width if step is None else next((i for i in range(p, len(text)) if i + step >= len(text) or text[i] != text[i + step]), 0) + step - p
+            assert run == want
+            first = p - (len(bins) - width) // 2
+            assert bins == [text[i] % substrings.BINS if 0 <= i < len(text) else substrings.BINS for i in range(first, first + len(bins))]
+
+
 @pytest.mark.parametrize("few", [0, 10**9])
 def test_alike_pairs_are_those_of_all_pairs(monkeypatch, few):
     monkeypatch.setattr(substrings, "FEW_PAIRS", few)
