@@ -431,8 +431,10 @@ ROWS_AT_ONCE = 512
 FEW_PAIRS, PAIRS_AT_ONCE = 2048, 1 << 17
 # Score of a cell that is not followed; ends are followed for so many pairs at once.
 DEAD, ENDS_AT_ONCE = -30, 1 << 12
+# From so many pairs of a seed on they are looked for by rare words: those that one of RARE rows has or fewer.
+HOT_PAIRS, RARE, LEAST_RARE = 1 << 17, 16, 3
 TILES = ["seed", "i", "j"]
-OPEN = "seed long, doc long, sig long, pos int, places long, open boolean, deal long, run int, around binary"
+OPEN = "seed long, doc long, sig long, pos int, places long, open boolean, run int, around binary"
 COMPARED = "doc long, sig long, other long, osig long, pos int, other_pos int, width int, lone boolean"
 
 
@@ -485,11 +487,10 @@ def periodic_runs(words: np.ndarray, sizes: np.ndarray, row: np.ndarray, pos: np
 
 
 def _surroundings(how: Passages):
-    """A row per wanted place with what stands around it; ``deal`` numbers the rows of a task."""
+    """A row per wanted place with what stands around it."""
     size = 2 * _width(how)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dealt = 0
         for whole in batches:
             for start, sizes, words in _hashed(whole):
                 batch = whole.slice(start, len(sizes))
@@ -503,16 +504,55 @@ def _surroundings(how: Passages):
                 ends = np.arange(len(owner) + 1, dtype=np.int32) * size
                 data = surroundings(*where).astype("<u2").tobytes()
                 around = pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(ends), pa.py_buffer(data)])
-                deal = pa.array(np.arange(dealt, dealt + len(owner)))
-                dealt += len(owner)
                 ids = [batch.column(c).take(pa.array(owner)) for c in DOC]
                 more = [fields.field(c) for c in ("places", "open")]
-                columns = [seed, *ids, at, *more, deal, pa.array(periodic_runs(*where), pa.int32()), around]
+                columns = [seed, *ids, at, *more, pa.array(periodic_runs(*where), pa.int32()), around]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in OPEN.split(", ")])
 
     return run
 
 
+def rare_pairs(
+    bins: np.ndarray, left: np.ndarray, right: np.ndarray, rank: np.ndarray, how: Passages
+) -> tuple[Iterator[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Pairs that may have an alike stretch, found by the words that few right rows have; and the left rows left to others.
+
+    A stretch of the least length has at most as many words as it needs in common among those
+    that many right rows have (a common sentence, say), so the rest are words that few have: those are
+    looked up in lists of rows. Left rows whose stretches need fewer than LEAST_RARE of them are returned.
+    """
+    slack, length = _slack(how), how.least_part
+    least = int(np.ceil(how.similarity * length - 1e-9))
+    words = np.sort(bins[right], axis=1)
+    first = np.c_[np.ones(len(words), dtype=bool), words[:, 1:] != words[:, :-1]] & (words != BINS)
+    holder, word = np.nonzero(first)[0], words[first]
+    order = np.argsort(word, kind="stable")
+    holder = holder[order]
+    size = np.bincount(word, minlength=BINS + 1)
+    start = np.cumsum(size) - size
+    inner = bins[left, slack : bins.shape[1] - slack]
+    frequent = size[inner] * RARE > len(right)
+    total = np.zeros((len(left), inner.shape[1] + 1), dtype=np.int16)
+    np.cumsum(frequent, axis=1, out=total[:, 1:])
+    lacking = least - (total[:, length:] - total[:, :-length]).max(axis=1)
+    few = lacking >= LEAST_RARE
+
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        rows, step = np.flatnonzero(few), max(1, (1 << 20) // len(right))
+        for at in range(0, len(rows), step):
+            some = rows[at : at + step]
+            of, place = np.nonzero(~frequent[some])
+            rare = inner[some[of], place]
+            cells = np.repeat(of * len(right), size[rare]) + holder[_ranges(start[rare], size[rare])]
+            common = np.bincount(cells, minlength=len(some) * len(right)).reshape(len(some), -1)
+            x, y = np.nonzero(common >= lacking[some][:, None])
+            x, y = left[some[x]], right[y]
+            earlier = rank[y] < rank[x]
+            yield x[earlier], y[earlier]
+
+    return pairs(), left[~few]
+
+
 def alike_pairs(
     bins: np.ndarray,
     group: np.ndarray,
@@ -701,13 +741,20 @@ def _compared(how: Passages):
             new = (np.diff(doc[order]) != 0) | (np.diff(sig[order]) != 0)
             rank = np.empty(len(order), dtype=np.int64)
             rank[order] = np.cumsum(np.r_[False, new])
-            order = np.lexsort((rank, group))
+            order = np.lexsort((pos, rank, group))
             left, right = order[(is_open & (i == block))[order]], order[(j == block)[order]]
             if not len(left) or not len(right):
                 continue
             pairs, held = [], 0
-            found = alike_pairs(bins, group, left, right, _slack(how), least, rank)
-            for some in chain(found, [None]):
+            found = []
+            hot = np.bincount(group[left], minlength=group[-1] + 1) * np.bincount(group[right], minlength=group[-1] + 1)
+            for g in np.flatnonzero(hot > HOT_PAIRS).tolist():
+                some, rest = rare_pairs(bins, left[group[left] == g], right[group[right] == g], rank, how)
+                found.append(some)
+                left = np.r_[left[group[left] < g], rest, left[group[left] > g]]
+            if len(left):
+                found.append(alike_pairs(bins, group, left, right, _slack(how), least, rank))
+            for some in chain(*found, [None]):
                 if some is not None:
                     pairs.append(some)
                     held += len(some[0])
@@ -746,7 +793,7 @@ def _rest(texts: DataFrame, linked: DataFrame, found: DataFrame, how: Passages)
     one_text = texts.join(by_doc.hint("merge"), DOC).select(*DOC, "text", "wanted")
     places = one_text.mapInArrow(_surroundings(how), OPEN)
     blocks = F.ceil(F.col("places") / TILE).cast("int")
-    places = places.withColumn("blocks", blocks).withColumn("block", F.expr("cast(deal % blocks as int)"))
+    places = places.withColumn("blocks", blocks).withColumn("block", F.expr("cast(pmod(xxhash64(doc, sig, pos), blocks) as int)"))
     tiles = F.expr(
         "array_union(if(open, transform(sequence(0, blocks - 1), x -> struct(block as i, x as j)), array()), "
         "transform(sequence(0, blocks - 1), x -> struct(x as i, block as j)))"

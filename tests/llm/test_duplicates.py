@@ -326,6 +326,31 @@ def test_alike_pairs_are_those_of_all_pairs(monkeypatch, few):
     assert len(found) == len(wanted) and set(found) == wanted
 
 
+def test_pairs_found_by_rare_words_are_those_of_all_pairs():
+    """A common sentence around the seed, copies with and without edits, and other words."""
+    rng, how = np.random.default_rng(5), substrings.Passages()
+    size, n = substrings._width(how), 300
+    bins = rng.integers(0, substrings.BINS, (n, size)).astype(np.uint16)
+    bins[:, 22:34] = np.arange(12)
+    bins[150:170] = bins[:20]
+    bins[150:170][rng.random((20, size)) < 0.08] = 99
+    bins[170:180, 30:] = 7
+    bins[rng.random((n, size)) < 0.05] = substrings.BINS
+    rank = np.arange(n) // 2
+    left, right = np.arange(0, n, dtype=np.int64)[rng.random(n) < 0.8], np.arange(n)
+    some, rest = substrings.rare_pairs(bins, left, right, rank, how)
+    pairs = [*some, *substrings.alike_pairs(bins, np.zeros(n, dtype=np.int64), rest, right, 5, 20, rank)]
+    assert 0 < len(rest) < len(left) / 2
+
+    def close(a, b):
+        alike = substrings.alike_around(bins, a, b, how)
+        return list(zip(a[alike].tolist(), b[alike].tolist()))
+
+    a, b = (x.ravel() for x in np.meshgrid(left, right, indexing="ij"))
+    found = close(*(np.concatenate(x) for x in zip(*pairs)))
+    assert sorted(found) == sorted(close(a[rank[b] < rank[a]], b[rank[b] < rank[a]])) and len(found) > 20
+
+
 def test_every_exact_run_of_fifty_words_has_an_anchor():
     rng = np.random.default_rng(2)
     how = substrings.Passages()
