@@ -425,8 +425,8 @@ BINS = (1 << 16) - 1
 COARSE = 512
 # So many places of a seed are compared with so many others; more are dealt over several tiles.
 TILE = 1 << 14
-# So many of a tile's places are multiplied with its others at once.
-ROWS_AT_ONCE = 512
+# So many of a tile's places are multiplied with its others at once, and so many pairs: all may be alike.
+ROWS_AT_ONCE, CELLS_AT_ONCE = 512, 1 << 18
 # Up to so many pairs of a tile are looked up one by one, more as a product of matrices.
 FEW_PAIRS, PAIRS_AT_ONCE = 2048, 1 << 17
 # Score of a cell that is not followed; ends are followed for so many pairs at once.
@@ -538,7 +538,7 @@ def rare_pairs(
     few = lacking >= LEAST_RARE
 
     def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        rows, step = np.flatnonzero(few), max(1, (1 << 20) // len(right))
+        rows, step = np.flatnonzero(few), max(1, CELLS_AT_ONCE // len(right))
         for at in range(0, len(rows), step):
             some = rows[at : at + step]
             of, place = np.nonzero(~frequent[some])
@@ -581,7 +581,7 @@ def alike_pairs(
     for g in np.flatnonzero(many).tolist():
         b = right[from_right[g] : from_right[g] + n_right[g]]
         theirs = np.ascontiguousarray(there[b, :COARSE].T, dtype=np.float32)
-        step = min(TILE, ROWS_AT_ONCE)
+        step = min(TILE, ROWS_AT_ONCE, max(1, CELLS_AT_ONCE // max(len(b), 1)))
         for at in range(from_left[g], from_left[g] + n_left[g], step):
             a = left[at : min(at + step, from_left[g] + n_left[g])]
             # No right row from here on ranks below any of these left rows.
