@@ -776,8 +776,8 @@ def _rest(texts: DataFrame, linked: DataFrame, found: DataFrame, how: Passages)
     Left out are places inside a passage already found, and seeds in two places, whose link
     is the only one there is. An open place is compared with every place of its seed in
     earlier documents; a match is one whose surroundings have a stretch of ``how.least_part``
-    words with as many in common as an alike stretch of that length needs. That is quadratic in the open places of a seed, in tiles
-    that tasks share.
+    words with as many in common as an alike stretch of that length needs. Comparing is quadratic in the open places of a seed, in tiles
+    that tasks share; of a place's matches only those of its farthest reaching owners are returned.
     """
     covers = found.select(F.col("doc_id").alias("doc"), "sig", "passage_start", "passage_end").distinct()
     covers = covers.groupBy(*DOC).agg(F.collect_list(F.struct("passage_start", "passage_end")).alias("covers"))
